@@ -192,17 +192,18 @@ def interval_join(left: DataFrame, right: DataFrame, by: Sequence[str], ts: ColL
         cond = (ts_c >= st_c) & (ts_c <= en_c)
     else:
         raise ValueError("closed must be 'left' or 'both'")
+    # right keys are renamed so that self-joins (both sides from one scan)
+    # cannot resolve to the same attribute
+    rk = {k: f"__rk_{k}" for k in by}
+    r = right.withColumnsRenamed(rk)
+    keys = [F.col(k) == F.col(rk[k]) for k in by]
     if bucket_days is None:
-        keys = [left[k] == right[k] for k in by]
-        out = left.join(right, [*keys, cond], how)
-        return out.drop(*[right[k] for k in by])
-    r = right.withColumn("__bk", F.explode(F.sequence(
-        F.floor(F.unix_date(F.to_date(st_c)) / bucket_days).cast("int"),
-        F.floor(F.unix_date(F.to_date(en_c)) / bucket_days).cast("int"))))
-    l = left.withColumn("__bk", F.floor(F.unix_date(F.to_date(ts_c)) / bucket_days).cast("int"))
-    keys = [l[k] == r[k] for k in by] + [l["__bk"] == r["__bk"]]
-    out = l.join(r, [*keys, cond], how)
-    return out.drop(*[r[k] for k in by], l["__bk"], r["__bk"])
+        return left.join(r, [*keys, cond], how).drop(*rk.values())
+    day = lambda c: F.floor(F.unix_date(F.to_date(c)) / bucket_days).cast("int")
+    r = r.withColumn("__rbk", F.explode(F.sequence(day(st_c), day(en_c))))
+    l = left.withColumn("__lbk", day(ts_c))
+    out = l.join(r, [*keys, F.col("__lbk") == F.col("__rbk"), cond], how)
+    return out.drop(*rk.values(), "__lbk", "__rbk")
 
 
 # ---------------------------------------------------------------------------
