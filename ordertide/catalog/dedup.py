@@ -92,7 +92,7 @@ def first_status_order_date(spark, sf):
     from pyspark.sql import Window
     w = Window.partitionBy(*LINE).orderBy(F.asc("l_shipdate"), F.asc("l_suppkey"), *line_tiebreak_asc())
     r = (li.join(o, li.l_orderkey == o.o_orderkey)
-         .withColumn("version_no", F.row_number().over(w)))
+         .withColumn("version_no", F.row_number().over(w).cast("bigint")))
     return r.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "version_no",
                     F.when((F.col("l_linestatus") == "O") & (F.col("version_no") == 1),
                            F.col("o_orderdate")).otherwise(F.col("l_shipdate")).alias("status_date"))
