@@ -30,10 +30,10 @@ def regexp_group(s: ColLike, pattern: str, group: int = 1) -> Column:
 def seconds_between(start: ColLike, end: ColLike) -> Column:
     """Whole seconds from ``start`` to ``end`` (``TIMESTAMP_DIFF(end, start, SECOND)``).
 
-    ``timestampdiff`` truncates the microsecond difference; subtracting two
+    ``timestamp_diff`` truncates the microsecond difference; subtracting two
     ``unix_timestamp`` values would count second boundaries instead.
     """
-    return F.timestampdiff("SECOND", _c(start), _c(end))
+    return F.timestamp_diff("SECOND", _c(start), _c(end))
 
 
 def epoch_seconds(ts: ColLike) -> Column:

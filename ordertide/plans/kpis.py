@@ -35,18 +35,19 @@ def delivery_summary(per_delivery: DataFrame, group_by: Sequence[str] = (),
     return per_delivery.groupBy(*group_by).agg(*aggs) if group_by else per_delivery.agg(*aggs)
 
 
-def distinct_key_counts(df: DataFrame, counts: dict[str, tuple[Sequence[str], Column | None]]) -> DataFrame:
+def distinct_key_counts(df: DataFrame, counts: dict[str, tuple[Sequence[str], Column | None]],
+                        extra: Sequence[Column] = ()) -> DataFrame:
     """KPI distinct counts (D31): ``name -> (key columns, optional filter)``.
 
     ``SELECT DISTINCT a, b`` keeps NULL keys as a value, so each key set is
     counted through ``count(DISTINCT struct(...))`` (a struct is never NULL).
-    All counts come out of one aggregation pass.
+    All counts (and the ``extra`` aggregates) come out of one aggregation pass.
     """
     aggs = []
     for name, (keys, cond) in counts.items():
         k = F.struct(*[F.col(c) for c in keys])
         aggs.append(F.count_distinct(k if cond is None else F.when(cond, k)).alias(name))
-    return df.agg(*aggs)
+    return df.agg(*aggs, *extra)
 
 
 def cancellation_by_delivery(lines: DataFrame, delivery_keys: Sequence[str], line_key: str,
