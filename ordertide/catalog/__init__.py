@@ -48,4 +48,4 @@ def load_all() -> None:
         importlib.import_module(f"ordertide.catalog.{mod}")
 
 
-_MODULES = ["kpis", "dedup", "joins", "timeseries", "recovery", "aggregates"]
+_MODULES = ["kpis", "dedup", "joins", "timeseries", "recovery", "aggregates", "calendar"]
