@@ -1,0 +1,10 @@
+"""Streaming: intentionally empty.
+
+The workload this package rebuilds is batch only: no stream source, no
+watermark, no windowed or stateful stream operator exists in it.  The nearest
+operations - trailing 28-day frames, first-event dedup, ingestion-date
+filters - are batch window operators in ``ordertide.operators``.  Every one
+of them is written with the DataFrame API, so the same functions can be
+applied to the micro-batches of a ``foreachBatch`` sink without change; no
+separate streaming operator is provided.
+"""
