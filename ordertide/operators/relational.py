@@ -183,9 +183,11 @@ def interval_join(left: DataFrame, right: DataFrame, by: Sequence[str], ts: ColL
     Without ``bucket_days`` this is an equi join on ``by`` with a range
     residual (sort-merge join + filter), right when each key has few intervals.
     With ``bucket_days`` each interval is exploded into the day buckets it
-    covers and the join also matches on the event's bucket: every
-    (event, interval) pair is produced exactly once and a hot key is split
-    over many tasks.
+    covers (clipped to the buckets the left side occupies, found by one
+    min / max aggregate) and the join also matches on the event's bucket:
+    every (event, interval) pair is produced exactly once and a hot key is
+    split over many tasks.  Outer joins that must keep unmatched *intervals*
+    need the plain form (an interval spans several buckets).
     """
     ts_c, st_c, en_c = _c(ts), _c(start), _c(end)
     if closed == "left":
@@ -202,7 +204,15 @@ def interval_join(left: DataFrame, right: DataFrame, by: Sequence[str], ts: ColL
     if bucket_days is None:
         return left.join(r, [*keys, cond], how).drop(*rk.values())
     day = lambda c: F.floor(F.unix_date(F.to_date(c)) / bucket_days).cast("int")
-    r = r.withColumn("__rbk", F.explode(F.sequence(day(st_c), day(en_c))))
+    # clip each interval's bucket range to the buckets the left side occupies:
+    # exact (no left row lies outside), and open-ended intervals ('valid until
+    # 2099') no longer explode into thousands of empty buckets
+    lo, hi = left.agg(F.min(day(ts_c)), F.max(day(ts_c))).first()
+    if lo is None:
+        lo = hi = 0
+    b0 = F.greatest(day(st_c), F.lit(lo))
+    b1 = F.least(day(en_c), F.lit(hi))
+    r = r.withColumn("__rbk", F.explode(F.when(b0 <= b1, F.sequence(b0, b1))))
     l = left.withColumn("__lbk", day(ts_c))
     out = l.join(r, [*keys, F.col("__lbk") == F.col("__rbk"), cond], how)
     return out.drop(*rk.values(), "__lbk", "__rbk")
