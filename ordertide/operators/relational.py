@@ -118,8 +118,9 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
     """
     by = list(by)
     payload = F.struct(*[F.col(c).alias(c) for c in cols])
-    r = right.select(*by, F.col(right_ts).alias("__ts"), F.lit(0).alias("__side"),
-                     payload.alias("__r"))
+    # a right row without a timestamp can never be "at or before" anything
+    r = right.filter(F.col(right_ts).isNotNull()).select(
+        *by, F.col(right_ts).alias("__ts"), F.lit(0).alias("__side"), payload.alias("__r"))
     lcols = left.columns
     l = left.select(*by, F.col(left_ts).alias("__ts"), F.lit(1).alias("__side"),
                     F.lit(None).cast(r.schema["__r"].dataType).alias("__r"),
