@@ -192,19 +192,41 @@ def binned_mi(spark, sf):
 
 @query("consensus_rank")
 def consensus_rank(spark, sf):
-    """Six scores joined by feature name, max-scaled, averaged, ranked."""
-    from pyspark import StorageLevel
-    d = doc_features(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)   # six scorers read it
-    cols = FEATURES + ["is_en"]
-    sc = {
-        "variance": S.variance_filter(d, cols).select("feature", F.col("variance").alias("score")),
-        "anova": S.anova_f(d, "quality", cols).select("feature", F.col("f_score").alias("score")),
-        "mi": S.binned_mutual_info(d, "quality", cols).select("feature", F.col("mutual_info").alias("score")),
-        "rf": S.rf_importance(d, "quality", cols, trees=20).select("feature", F.col("importance").alias("score")),
-        "rfe": S.rfe(d, "quality", cols, 3).select("feature", (1.0 / F.col("rfe_rank")).alias("score")),
-        "l1": S.l1_selection(d, "quality", cols, 0.1).select("feature", F.col("coef").alias("score")),
-    }
-    return S.consensus(sc, top=5)
+    """K16 (J18-J24): six scores joined by feature name, max-scaled, averaged, ranked."""
+    from ordertide.plans.studies import feature_selection_consensus
+    return feature_selection_consensus(doc_features(spark, sf), "quality", FEATURES + ["is_en"], top=5)
+
+
+@query("regression_study")
+def regression_study(spark, sf):
+    """K14 (+ C25j): stepwise and final logit; odds ratios joined to marginal effects by term."""
+    from ordertide.operators.prep import squared
+    from ordertide.plans.studies import regression_study as study
+    d = squared(doc_features(spark, sf), ["n_words"])
+    out = study(d, "quality", [["n_words", "n_lines"], ["n_digits", "n_upper", "n_punct"], ["is_en"]],
+                ["n_words", "n_words_sq", "n_punct", "is_en"])
+    return out["or_me"]
+
+
+@query("multicollinearity_reduction")
+def multicollinearity_reduction(spark, sf):
+    """K15 (J5 + J6): VIF split at 10, PCA on the collinear rest (train fit), VIF before / after."""
+    from ordertide.operators.prep import time_split
+    from ordertide.plans.studies import multicollinearity_reduction as reduce_
+    d = doc_features(spark, sf).withColumn("__t", F.timestamp_seconds("doc_id"))
+    d = time_split(d, "__t", ["doc_id"], 0.8)
+    _, _, comparison = reduce_(d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test"),
+                               ["doc_id", "quality"], FEATURES, threshold=10.0)
+    return comparison
+
+
+@query("classifier_study")
+def classifier_study(spark, sf):
+    """Impute, time split, hybrid encoding, scaling, tuned forest, test metrics."""
+    from ordertide.plans.studies import classifier_study as study
+    d = doc_features(spark, sf).join(table(spark, sf, "documents").select("doc_id", "lang"), "doc_id")
+    d = d.withColumn("__t", F.timestamp_seconds("doc_id"))
+    return study(d, "quality", FEATURES, "lang", "__t", ["doc_id"], min_count=110, n_trials=2)
 
 
 # --------------------------------------------------------------------------
