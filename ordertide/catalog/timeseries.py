@@ -311,15 +311,21 @@ SELECT user_id, calendar_date,
 FROM j GROUP BY user_id, calendar_date
 """)
 def lookback_month_deviations(spark, sf):
+    """C16j + D4 + D33.  ``event_id`` is the key of ``events`` (one date per
+    event), so its distinct count over the window is the sum of per-day
+    distinct counts: events are pre-aggregated per (user, day) before the
+    look-back explode."""
+    from ordertide.operators.relational import lookback_sums
     ev = table(spark, sf, "events").withColumn("e_date", F.to_date("ts"))
     spine = (ev.groupBy("user_id").agg(F.min("e_date").alias("d0"), F.max("e_date").alias("d1"))
              .select("user_id", F.explode(F.sequence("d0", "d1")).alias("calendar_date")))
     is_dev = F.col("event_type") == "error"
-    out = lookback_counts(spine, ev, ["user_id"], "calendar_date", "e_date", {
-        "n_events_1m": F.count_distinct("event_id"),
-        "n_deviations_1m": F.count_distinct(F.when(is_dev, F.col("event_id"))),
-        "n_low_value_deviations_1m": F.count(F.when(is_dev & (F.col("value") < 10), 1)),
-    })
+    daily = ev.groupBy("user_id", "e_date").agg(
+        F.count_distinct("event_id").alias("n_events_1m"),
+        F.count_distinct(F.when(is_dev, F.col("event_id"))).alias("n_deviations_1m"),
+        F.count(F.when(is_dev & (F.col("value") < 10), 1)).alias("n_low_value_deviations_1m"))
+    out = lookback_sums(spine, daily, ["user_id"], "calendar_date", "e_date",
+                        ["n_events_1m", "n_deviations_1m", "n_low_value_deviations_1m"])
     out = out.fillna(0, ["n_events_1m", "n_deviations_1m", "n_low_value_deviations_1m"])
     rate = F.round(F.try_divide(100 * F.col("n_deviations_1m"), F.col("n_events_1m")), 6)
     return out.withColumn("deviation_rate_1m_pct", rate.cast("double"))

@@ -282,3 +282,16 @@ def lookback_counts(spine: DataFrame, events: DataFrame, by: Sequence[str], spin
                  [F.col(f"s.{k}") == F.col(f"a.{k}") for k in by]
                  + [F.col(f"s.{spine_date}") == F.col("a.__d")], "left")
     return out.select("s.*", *[F.col(f"a.{n}") for n in measures])
+
+
+def lookback_sums(spine: DataFrame, daily: DataFrame, by: Sequence[str], spine_date: str, day: str,
+                  sums: Sequence[str], months: int = 1) -> DataFrame:
+    """``lookback_counts`` for measures that add up over days.
+
+    ``daily`` holds one row per (key, day) with per-day totals (pre-aggregated,
+    so a hot key contributes one row per day, not one per event).  Each daily
+    row is exploded into the <= 31 spine days whose look-back window
+    ``[d - months, d - 1 day]`` contains it and the totals are summed.  A
+    distinct count of a unique key (one day per key) is such a measure.
+    """
+    return lookback_counts(spine, daily, by, spine_date, day, {n: F.sum(n) for n in sums}, months)
