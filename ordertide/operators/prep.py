@@ -113,12 +113,10 @@ def level_indicators(df: DataFrame, col: str, lvls: Sequence, prefix: str) -> Da
 
 
 def category_counts(df: DataFrame, col: str) -> DataFrame:
-    """Count and frequency of each level (I10 fit)."""
-    total = df.agg(F.count(F.lit(1)).alias("__total")).withColumn("__k", F.lit(1))
+    """Count and frequency of each level (I10 fit); the total is a scalar."""
+    total = df.count()
     c = df.groupBy(col).agg(F.count(F.lit(1)).alias(f"{col}_count"))
-    return (c.withColumn("__k", F.lit(1)).join(F.broadcast(total), "__k")
-            .withColumn(f"{col}_freq", F.col(f"{col}_count") / F.col("__total"))
-            .drop("__k", "__total"))
+    return c.withColumn(f"{col}_freq", F.col(f"{col}_count") / F.lit(float(total)))
 
 
 def count_freq_encode(df: DataFrame, col: str, fitted_counts: DataFrame) -> DataFrame:
@@ -189,16 +187,14 @@ class HybridEncoderModel(Model):
 # ---------------------------------------------------------------------------
 
 def frequency_tiers(df: DataFrame, group: str, name: str = "tier") -> DataFrame:
-    """LARGE / MEDIUM / SMALL by group size at its 75th / 25th percentile."""
+    """LARGE / MEDIUM / SMALL by group size at its 75th / 25th percentile.
+
+    The two thresholds are scalars from one sketch aggregate over the counts.
+    """
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    q = (counts.agg(F.percentile_approx("n", [0.25, 0.75], QUANTILE_ACCURACY).alias("__q"))
-         .select(F.col("__q")[0].alias("__q25"), F.col("__q")[1].alias("__q75"))
-         .withColumn("__k", F.lit(1)))
-    t = (counts.withColumn("__k", F.lit(1)).join(F.broadcast(q), "__k")   # one-row threshold table
-         .withColumn(name, F.when(F.col("n") >= F.col("__q75"), "LARGE")
-                     .when(F.col("n") >= F.col("__q25"), "MEDIUM").otherwise("SMALL"))
-         .select(group, "n", name))
-    return t
+    q25, q75 = counts.agg(F.percentile_approx("n", [0.25, 0.75], QUANTILE_ACCURACY)).first()[0]
+    return counts.withColumn(name, F.when(F.col("n") >= q75, "LARGE")
+                             .when(F.col("n") >= q25, "MEDIUM").otherwise("SMALL")).select(group, "n", name)
 
 
 def top_n_levels(df: DataFrame, col: str, n: int, weight: Column | None = None) -> list:
@@ -296,15 +292,13 @@ def ratio_sample(df: DataFrame, label: str, key: Sequence[str], ratio: float = 3
     negatives taken in hash order of the key (exact, no global sort)."""
     strata = list(strata)
     pos = df.filter(F.col(label) == 1)
-    npos = (pos.groupBy(*strata).agg(F.count(F.lit(1)).alias("__np")) if strata
-            else pos.agg(F.count(F.lit(1)).alias("__np")))
     h = F.xxhash64(*[F.col(k) for k in key])
     neg = df.filter(F.col(label) == 0).withColumn("__h", h)
     neg = rank_by_buckets(neg, F.shiftright("__h", 48), ["__h", *key], strata, "__r")
-    if strata:
-        neg = neg.join(npos, strata, "left")
-    else:  # one-row positive count
-        neg = neg.withColumn("__k", F.lit(1)).join(F.broadcast(npos.withColumn("__k", F.lit(1))), "__k")
+    if strata:   # positives per stratum: one row per stratum
+        neg = neg.join(pos.groupBy(*strata).agg(F.count(F.lit(1)).alias("__np")), strata, "left")
+    else:        # one scalar
+        neg = neg.withColumn("__np", F.lit(pos.count()))
     neg = neg.filter(F.col("__r") <= F.coalesce(F.col("__np"), F.lit(0)) * ratio)
     return pos.unionByName(neg.select(*df.columns))
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordertide.functions.scalars import epoch_seconds
-from ordertide.operators.relational import any_per_key, last_event_time, latest_per_key
+from ordertide.operators.relational import any_per_key
 
 DAY = 86_400
 
@@ -26,35 +26,47 @@ def availability_features(log: DataFrame, keys: Sequence[str], ts: str = "modify
     """Per change-log row: 28-day stock mean / variance, daily change rates,
     stockout / replenishment counts and days since the last one, and the
     estimated days until the next stockout.  Output keeps the smallest
-    quantity per (keys, ts)."""
+    quantity per (keys, ts).
+
+    Plan: one exchange (hash on the item key, reused by the dedup and every
+    window) and two sorts.  All row- and day-level windows share one order,
+    (day, epoch second, ts, qty): day aggregates are RANGE frames on the day
+    number, so they need no separate (keys, day) partitioning.  Only the
+    28-day frame on epoch seconds needs a second sort.
+    """
     keys = list(keys)
-    base = any_per_key(log, [*keys, ts, qty]).withColumn("modify_date", F.to_date(ts))
-    order = [F.col(ts), F.col(qty)]
-    w_row = Window.partitionBy(*keys).orderBy(*order)
-    w_secs = Window.partitionBy(*keys).orderBy(epoch_seconds(F.col(ts))).rangeBetween(-days * DAY, 0)
-    w_day_part = Window.partitionBy(*keys, "modify_date")
-    w_day_first = Window.partitionBy(*keys, "modify_date").orderBy(*order)
-    w_before = w_row.rowsBetween(Window.unboundedPreceding, -1)
-    w_days = Window.partitionBy(*keys).orderBy(F.unix_date("modify_date")).rangeBetween(-days, 0)
+    base = log.repartition(*keys)                 # the only shuffle: dedup and windows reuse it
+    base = any_per_key(base, [*keys, ts, qty]).withColumns({
+        "modify_date": F.to_date(ts), "__es": epoch_seconds(F.col(ts))})
+    base = base.withColumn("__day", F.unix_date("modify_date"))
+    q = F.col(qty)
+    wd = Window.partitionBy(*keys).orderBy("__day", "__es", ts, qty)     # row order
+    w_before = wd.rowsBetween(Window.unboundedPreceding, -1)
+    w_upto = wd.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w_same_day = Window.partitionBy(*keys).orderBy("__day").rangeBetween(0, 0)
+    w_days = Window.partitionBy(*keys).orderBy("__day").rangeBetween(-days, 0)
+    w_secs = Window.partitionBy(*keys).orderBy("__es").rangeBetween(-days * DAY, 0)
 
     f = base.withColumns({
-        "average_stock_4_weeks": F.avg(qty).over(w_secs),
-        "stock_variance_4_weeks": F.var_samp(qty).over(w_secs),
-        "lag_availability_qty": F.lag(qty).over(w_row),
-        "__day_min": F.min(qty).over(w_day_part),
-        "__first": F.row_number().over(w_day_first) == 1,
+        "lag_availability_qty": F.lag(qty).over(wd),
+        "__first": F.coalesce(F.lag("__day").over(wd) != F.col("__day"), F.lit(True)),
+        "__first_ts": F.coalesce(F.lag(ts).over(wd) != F.col(ts), F.lit(True)),
+        "__day_min": F.min(qty).over(w_same_day),
     })
-    # previous day's minimum and date, read at the first row of each day
+    # previous day's minimum and date as seen from the first row of each day
     f = f.withColumns({
         "__prev_min": F.last(F.when(F.col("__first"), F.col("__day_min")), ignorenulls=True).over(w_before),
         "__prev_day": F.last(F.when(F.col("__first"), F.col("modify_date")), ignorenulls=True).over(w_before),
+        "stockout_dummy": F.when((q == 0) & (F.col("lag_availability_qty") > 0), 1).otherwise(0),
+        "replenishment_dummy": F.when(q > F.col("lag_availability_qty"), 1).otherwise(0),
     })
     f = f.withColumns({
-        "__prev_min": F.first(F.when(F.col("__first"), F.col("__prev_min")), ignorenulls=True).over(w_day_part),
-        "__prev_day": F.first(F.when(F.col("__first"), F.col("__prev_day")), ignorenulls=True).over(w_day_part),
+        "__prev_min": F.first(F.when(F.col("__first"), F.col("__prev_min")), ignorenulls=True).over(w_same_day),
+        "__prev_day": F.first(F.when(F.col("__first"), F.col("__prev_day")), ignorenulls=True).over(w_same_day),
+        "__last_so": F.max(F.when(F.col("stockout_dummy") == 1, F.col(ts))).over(w_upto),
+        "__last_rep": F.max(F.when(F.col("replenishment_dummy") == 1, F.col(ts))).over(w_upto),
     })
-    rate = F.try_divide(F.col("__day_min") - F.col("__prev_min"),
-                        F.datediff("modify_date", "__prev_day"))
+    rate = F.try_divide(F.col("__day_min") - F.col("__prev_min"), F.datediff("modify_date", "__prev_day"))
     f = f.withColumn("current_daily_stock_change_rate", rate)
     day_rate = F.when(F.col("__first"), F.col("current_daily_stock_change_rate"))
     f = f.withColumns({
@@ -63,28 +75,24 @@ def availability_features(log: DataFrame, keys: Sequence[str], ts: str = "modify
         "average_daily_stock_change_rate": F.when(
             F.col("current_daily_stock_change_rate") <= 0,
             F.avg(F.when(F.col("current_daily_stock_change_rate") <= 0, day_rate)).over(w_days)),
-        "stockout_dummy": F.when((F.col(qty) == 0) & (F.col("lag_availability_qty") > 0), 1).otherwise(0),
-        "replenishment_dummy": F.when(F.col(qty) > F.col("lag_availability_qty"), 1).otherwise(0),
+        "days_since_last_stockout": F.datediff("modify_date", F.to_date("__last_so")),
+        "days_since_last_replenishment": F.datediff("modify_date", F.to_date("__last_rep")),
     })
+    # the second (and last) sort: 28-day frames on epoch seconds
     f = f.withColumns({
+        "average_stock_4_weeks": F.avg(qty).over(w_secs),
+        "stock_variance_4_weeks": F.var_samp(qty).over(w_secs),
         "stockout_count_28_days": F.sum("stockout_dummy").over(w_secs),
         "replenishment_count_28_days": F.sum("replenishment_dummy").over(w_secs),
     })
-    f = last_event_time(f, keys, ts, F.col("stockout_dummy") == 1, "__last_so")
-    f = last_event_time(f, keys, ts, F.col("replenishment_dummy") == 1, "__last_rep")
-    f = f.withColumns({
-        "days_since_last_stockout": F.datediff("modify_date", F.to_date("__last_so")),
-        "days_since_last_replenishment": F.datediff("modify_date", F.to_date("__last_rep")),
-    })
     f = f.withColumn("estimated_days_till_next_stockout", estimated_days_to_stockout(
-        F.col(qty), F.col("current_daily_stock_change_rate"),
-        F.col("average_daily_stock_change_rate"),
+        q, F.col("current_daily_stock_change_rate"), F.col("average_daily_stock_change_rate"),
         F.col("average_daily_stock_change_rate_replenishment")))
     if start is not None:
         f = f.filter(F.col(ts) >= F.lit(start).cast(log.schema[ts].dataType))
-    out = latest_per_key(f, [*keys, ts], [F.asc(qty)])
-    return out.drop("__day_min", "__first", "__prev_min", "__prev_day", "__last_so", "__last_rep",
-                    "lag_availability_qty")
+    # smallest quantity per (keys, ts): the first row of each timestamp in row order
+    return f.filter("__first_ts").drop("__day_min", "__first", "__first_ts", "__prev_min", "__prev_day",
+                                       "__last_so", "__last_rep", "lag_availability_qty", "__es", "__day")
 
 
 def estimated_days_to_stockout(qty: Column, current: Column, avg_nonpos: Column,

@@ -1,8 +1,7 @@
 """K13 recovery success analysis (D9-D20) over an attempts table.
 
-Every table is a grouped aggregate; shares of a total use a one-row
-aggregate broadcast onto the grouped rows (no unpartitioned window, so no
-single-task sort of the grouped result).
+Every table is a grouped aggregate; shares of a total divide by a scalar
+total (no join, no unpartitioned window over the grouped rows).
 """
 
 from __future__ import annotations
@@ -14,11 +13,13 @@ from pyspark.sql import functions as F
 
 
 def with_share(df: DataFrame, count_col: str, name: str, places: int = 4) -> DataFrame:
-    """Add ``name`` = 100 * count / total; the total is one broadcast row."""
-    total = df.agg(F.sum(count_col).alias("__total")).withColumn("__k", F.lit(1))
-    return (df.withColumn("__k", F.lit(1)).join(F.broadcast(total), "__k")
-            .withColumn(name, F.round(F.try_divide(100.0 * F.col(count_col), F.col("__total")), places))
-            .drop("__k", "__total"))
+    """Add ``name`` = 100 * count / total.
+
+    The total is one scalar read from a one-row aggregate (partial sums per
+    task), then used as a literal: no join and no unpartitioned window.
+    """
+    total = df.agg(F.sum(count_col)).first()[0]
+    return df.withColumn(name, F.round(F.try_divide(100.0 * F.col(count_col), F.lit(total)), places))
 
 
 def sequence_attempts(attempts: DataFrame, delivery: Sequence[str], ts: str, success: Column,
