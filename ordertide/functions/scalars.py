@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from ordertide.fixed import CLOSED_SHIFT
 
 ColLike = str | Column
 
@@ -63,8 +64,7 @@ def normalise_shift(text: ColLike) -> Column:
     """``HH:MM-HH:MM`` -> ``HH:MM:00-HH:MM:00``; NULL (closed day) -> all zeros."""
     t = _c(text)
     short = F.concat(F.substring(t, 1, 5), F.lit(":00-"), F.substring(t, 7, 5), F.lit(":00"))
-    return F.coalesce(F.when(F.length(t) == 11, short).otherwise(t),
-                      F.lit("00:00:00-00:00:00"))
+    return F.coalesce(F.when(F.length(t) == 11, short).otherwise(t), F.lit(CLOSED_SHIFT))
 
 
 def shift_bounds(text: ColLike) -> tuple[Column, Column]:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ordertide.functions.scalars import epoch_seconds
 from ordertide.operators.relational import any_per_key
+from ordertide.fixed import Z_ITEM_MEDIAN, Z_NEUTRAL, Z_OBSERVED, Z_UNIT_MEDIAN
 
 DAY = 86_400
 
@@ -141,9 +142,9 @@ def stock_zscore(log: DataFrame, unit_keys: Sequence[str], item: str, ts: str =
     imputed = F.coalesce(F.col("stock_z_score_original"),
                          F.when(item_ok, F.col("median_item_z_score")),
                          F.col("median_bu_z_score"), F.lit(0.0))
-    method = (F.when(valid, "OBSERVED").when(item_ok, "IMPUTED_ITEM_MEDIAN")
-              .when(F.col("median_bu_z_score").isNotNull(), "IMPUTED_BU_MEDIAN")
-              .otherwise("IMPUTED_NEUTRAL"))
+    method = (F.when(valid, Z_OBSERVED).when(item_ok, Z_ITEM_MEDIAN)
+              .when(F.col("median_bu_z_score").isNotNull(), Z_UNIT_MEDIAN)
+              .otherwise(Z_NEUTRAL))
     s = s.withColumns({
         "stock_z_score_imputed": imputed,
         "imputation_method": method,

@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordertide.operators.relational import interval_join, latest_per_key
+from ordertide.fixed import (STAGE_FULFILMENT, STAGE_ORDER_PROCESSING, STATUS_ALLOCATED, STATUS_CREATED,
+                             STATUS_SENT)
 
 
 def status_stage(status: Column) -> Column:
     """Order stage of a line status."""
-    return (F.when(status.isin("Created", "Allocated"), F.lit("ORDER PROCESSING"))
-            .when(status == "Sent for fulfillment", F.lit("FULFILMENT")))
+    return (F.when(status.isin(STATUS_CREATED, STATUS_ALLOCATED), F.lit(STAGE_ORDER_PROCESSING))
+            .when(status == STATUS_SENT, F.lit(STAGE_FULFILMENT)))
 
 
 def overridden_stage(stage: Column, occurrence: Column) -> Column:
