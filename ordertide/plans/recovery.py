@@ -23,16 +23,20 @@ def with_share(df: DataFrame, count_col: str, name: str, places: int = 4) -> Dat
 
 
 def sequence_attempts(attempts: DataFrame, delivery: Sequence[str], ts: str, success: Column,
-                      tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Attempt number per delivery, success flags and ever / never flags (SR:70-76)."""
-    w = Window.partitionBy(*delivery).orderBy(ts, *tiebreak)
-    wd = Window.partitionBy(*delivery)
-    a = attempts.withColumns({
-        "ar_attempt_seq": F.row_number().over(w).cast("bigint"),
-        "successful_AR": success.cast("int"),
-    })
-    a = a.withColumns({"unsuccessful_AR": 1 - F.col("successful_AR"),
-                       "ever_successful": F.max("successful_AR").over(wd)})
+                      tiebreak: Sequence[str] = (), bucket_seconds: int = 3600) -> DataFrame:
+    """Attempt number per delivery, success flags and ever / never flags (SR:70-76).
+
+    The number is an exact rank by (ts, tiebreak) within the delivery, built
+    from per-(delivery, hour) counts (``rank_by_buckets``), so a delivery
+    holding a third of all attempts is still ranked by many tasks; the
+    ever-successful flag is a per-delivery aggregate joined back.
+    """
+    from ordertide.operators.prep import rank_by_buckets
+    a = attempts.withColumn("successful_AR", success.cast("int"))
+    a = rank_by_buckets(a, F.floor(F.unix_timestamp(ts) / bucket_seconds), [ts, *tiebreak], delivery,
+                        "ar_attempt_seq").withColumn("ar_attempt_seq", F.col("ar_attempt_seq").cast("bigint"))
+    ever = a.groupBy(*delivery).agg(F.max("successful_AR").alias("ever_successful"))
+    a = a.join(ever, list(delivery)).withColumn("unsuccessful_AR", 1 - F.col("successful_AR"))
     return a.withColumn("never_successful", 1 - F.col("ever_successful"))
 
 
