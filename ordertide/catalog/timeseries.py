@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ordertide.catalog import query, table
 from ordertide.catalog._common import SQL_CHANGE_LOG, change_log
-from ordertide.operators.relational import lookback_counts, rolling_month_sum
+from ordertide.operators.relational import rolling_month_sum
 from ordertide.operators.windows import trailing_stats
 from ordertide.plans.availability import availability_features, stock_zscore
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 
 def reason_code_filter(reason_ok: Column, date_from_ok: Column, event_from_ok: Column,

@@ -33,10 +33,6 @@ def _c(x: ColLike) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _names(xs: Sequence[str] | str) -> list[str]:
-    return [xs] if isinstance(xs, str) else list(xs)
-
-
 # ---------------------------------------------------------------------------
 # size-checked broadcast
 # ---------------------------------------------------------------------------
