@@ -25,6 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ColLike = str | Column
 
@@ -96,7 +97,7 @@ def smallest_measure_per_key(df: DataFrame, keys: Sequence[str], measure: str,
 # ---------------------------------------------------------------------------
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str,
-              right_ts: str, cols: Sequence[str], bucket: str | None = None,
+              right_ts: str, cols: Sequence[str], bucket: str | float | None = None,
               prefix: str = "") -> DataFrame:
     """Attach to each left row the latest right row with ``right_ts <= left_ts``.
 
@@ -108,9 +109,12 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
     ``last(struct, ignorenulls)`` over the rows before.  No range join, no
     row blow-up.
 
-    ``bucket`` (e.g. ``"1 day"``) additionally partitions by a time bucket;
-    the value carried into each bucket is the last right row of the earlier
-    buckets of the key, taken from a small (key, bucket) table.
+    ``bucket`` additionally partitions by a bucket of the ordering value - a
+    time span such as ``"30 days"`` for timestamps and dates, or a number
+    (bucket width) for a numeric ordering value; the value carried into each
+    bucket is the last right row of the earlier buckets of the key, taken
+    from a small (key, bucket) table.  Keys with few distinct values (or one
+    hot key) are thereby spread over many tasks.
     """
     by = list(by)
     payload = F.struct(*[F.col(c).alias(c) for c in cols])
@@ -128,17 +132,24 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         m = u.withColumn("__m", F.last("__r", ignorenulls=True).over(w))
     else:
-        u = u.withColumn("__b", F.window("__ts", bucket).start)
+        if isinstance(bucket, str):
+            tsc = F.col("__ts")
+            if isinstance(u.schema["__ts"].dataType, T.DateType):
+                tsc = tsc.cast("timestamp_ntz")
+            bkt = F.window(tsc, bucket).start
+        else:
+            bkt = F.floor(F.col("__ts") / F.lit(float(bucket)))
+        u = u.withColumn("__b", bkt)
         w = (Window.partitionBy(*by, "__b").orderBy("__ts", "__side")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         m = u.withColumn("__m", F.last("__r", ignorenulls=True).over(w))
         # last right row per (key, bucket); partial aggregation shrinks it map-side
-        lastr = (r.withColumn("__b", F.window("__ts", bucket).start)
+        lastr = (u.filter("__side = 0")
                  .groupBy(*by, "__b")
                  .agg(F.max_by("__r", "__ts").alias("__lr")))
         # every bucket holding a left row gets the last right row of the
         # buckets before it: a small (key, bucket) table, one row per bucket
-        lb = l.select(*by, F.window("__ts", bucket).start.alias("__b")).distinct()
+        lb = u.filter("__side = 1").select(*by, "__b").distinct()
         wb = (Window.partitionBy(*by).orderBy("__b")
               .rowsBetween(Window.unboundedPreceding, -1))
         carry = (lb.join(lastr, [*by, "__b"], "full")

@@ -286,3 +286,23 @@ def test_estimated_days_to_stockout_branches(spark):
     df = spark.createDataFrame(rows, "q double, cur double, nonpos double, allr double")
     got = [r[0] for r in df.select(est(F.col("q"), F.col("cur"), F.col("nonpos"), F.col("allr"))).collect()]
     assert got == [0.0, 5.0, 3.0, 2.0, None]
+
+
+@pytest.mark.parametrize("bucket", [None, 7.0, "3 days"])
+def test_asof_numeric_and_date_keys(spark, bucket):
+    rnd = random.Random(9)
+    right = sorted({(rnd.choice([1, 2]), rnd.randrange(0, 200)) for _ in range(120)})
+    left = [(i, rnd.choice([1, 2]), rnd.randrange(-5, 210) + rnd.random()) for i in range(150)]
+    if isinstance(bucket, str):     # date keys
+        r = spark.createDataFrame([(k, dt.date(2024, 1, 1) + dt.timedelta(days=v), float(v)) for k, v in right],
+                                  "k int, rk date, v double")
+        l = spark.createDataFrame([(i, k, dt.date(2024, 1, 1) + dt.timedelta(days=int(x))) for i, k, x in left],
+                                  "id int, k int, lk date")
+    else:
+        r = spark.createDataFrame([(k, float(v), float(v)) for k, v in right], "k int, rk double, v double")
+        l = spark.createDataFrame(left, "id int, k int, lk double")
+    got = R.asof_join(l, r, ["k"], "lk", "rk", ["v"], bucket=bucket).select("id", "v")
+    j = l.join(r, (l.k == r.k) & (r.rk <= l.lk), "left")
+    w = Window.partitionBy("id").orderBy(F.desc_nulls_last("rk"))
+    exp = j.withColumn("rn", F.row_number().over(w)).filter("rn = 1").select("id", "v")
+    assert sorted(got.collect()) == sorted(exp.collect())
