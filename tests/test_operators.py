@@ -306,3 +306,19 @@ def test_asof_numeric_and_date_keys(spark, bucket):
     w = Window.partitionBy("id").orderBy(F.desc_nulls_last("rk"))
     exp = j.withColumn("rn", F.row_number().over(w)).filter("rn = 1").select("id", "v")
     assert sorted(got.collect()) == sorted(exp.collect())
+
+
+def test_lookback_sums_equals_lookback_counts(spark):
+    rnd = random.Random(4)
+    ev = spark.createDataFrame([(i, rnd.choice([1, 2]), dt.date(2024, 1, 1) + dt.timedelta(days=rnd.randrange(70)),
+                                 rnd.random() < 0.3) for i in range(400)], "eid int, k int, e date, dev boolean")
+    spine = spark.createDataFrame([(k, dt.date(2024, 1, 1) + dt.timedelta(days=d)) for k in (1, 2) for d in range(75)],
+                                  "k int, d date")
+    direct = R.lookback_counts(spine, ev, ["k"], "d", "e", {
+        "n": F.count_distinct("eid"), "n_dev": F.count_distinct(F.when(F.col("dev"), F.col("eid")))})
+    daily = ev.groupBy("k", "e").agg(F.count_distinct("eid").alias("n"),
+                                    F.count_distinct(F.when(F.col("dev"), F.col("eid"))).alias("n_dev"))
+    summed = R.lookback_sums(spine, daily, ["k"], "d", "e", ["n", "n_dev"])
+    a = sorted(direct.fillna(0, ["n", "n_dev"]).collect())
+    b = sorted(summed.fillna(0, ["n", "n_dev"]).collect())
+    assert a == b
