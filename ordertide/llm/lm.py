@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ordertide.llm.common import map_arrow, text_bytes, work_dir, written
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 8 << 20        # text per hash range of the counting shuffle
 BINS = 8                      # bins per factor of two of an estimate
 ROUNDS = 60
@@ -83,17 +83,15 @@ class _Grams:
         seq, n = [], []
         for text in t.column("text").to_pylist():
             own = text.lower().split()
-            seq.append(0)
-            seq += [words.setdefault(w, len(words)) for w in own]
-            seq.append(1)
+            seq.append(np.array([0, *[words.setdefault(w, len(words)) for w in own], 1], np.int32))
             n.append(len(own) + 1)
         self.n = np.array(n, np.int64)                       # tokens of a row, its end included
-        seq = np.array(seq, np.int64)
+        seq = np.concatenate(seq)
         hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
         hashes[:2] = _START, _END
         order = np.argsort(hashes)
-        self.words, rank = hashes[order], np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
+        self.words, rank = hashes[order], np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
         seq = rank[seq]
         last = np.cumsum(self.n + 1) - 1
         is_context = np.ones(len(seq), bool)
@@ -103,7 +101,8 @@ class _Grams:
         key = self.words[self.v] * np.uint64(0x9E3779B97F4A7C15) + self.words[self.w]
         for shift, mul in ((32, 0xD6E8FEB86659FD93), (29, 0x9FB21C651E98DF25)):
             key = (key ^ (key >> np.uint64(shift))) * np.uint64(mul)
-        self.pairs, self.pair = np.unique(key ^ (key >> np.uint64(32)), return_inverse=True)
+        self.pairs, pair = np.unique(key ^ (key >> np.uint64(32)), return_inverse=True)
+        self.pair = pair.astype(np.int32)
         self.starts = np.cumsum(self.n) - self.n
         self.start_rank = rank[0]
 
@@ -293,8 +292,7 @@ def lm_scores(df: DataFrame, train_rows, tune_rows, id_col: str = "doc_id", text
                 t = _open(rows.as_py())
                 g, (words, pairs) = _Grams(t), reader.of(block)
                 b0, p2, p1 = _estimates(g, words[0], pairs[0], tokens)
-                lam = weights[b0]
-                p = lam[:, 0] * p2 + lam[:, 1] * p1 + lam[:, 2] / (types + 1)
+                p = weights[b0, 0] * p2 + weights[b0, 1] * p1 + weights[b0, 2] / (types + 1)
                 cw = words[0][g.w]
                 yield pa.RecordBatch.from_arrays([
                     t.column("id").combine_chunks(), pa.array(g.n), pa.array(g.per_row((cw > 0).astype(np.int64))),
