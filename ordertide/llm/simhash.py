@@ -29,7 +29,7 @@ from ordertide.llm.graph import components
 SEED = 42
 SAMPLE = 2048            # distinct fingerprints used to plan partitions and estimate candidates
 SIGNATURE_COST = 1.0     # one probe row against ...
-CANDIDATE_COST = 0.1     # ... one candidate to verify
+CANDIDATE_COST = 0.02    # ... one candidate to verify (about 30 ns against 1.5 us)
 _HASH_BLOCK = 1 << 16    # shingles hashed at a time
 
 
