@@ -13,6 +13,6 @@ streaming  notes on incremental use (the workload is batch only)
 catalog    the query catalogue run against the driver's test tables
 """
 
-from ordertide.session import get_session, checkpoint_dir  # noqa: F401
+from ordertide.session import get_session  # noqa: F401
 
-__all__ = ["get_session", "checkpoint_dir"]
+__all__ = ["get_session"]

@@ -194,7 +194,7 @@ def binned_mi(spark, sf):
 def consensus_rank(spark, sf):
     """K16 (J18-J24): six scores joined by feature name, max-scaled, averaged, ranked."""
     from ordertide.plans.studies import feature_selection_consensus
-    return feature_selection_consensus(doc_features(spark, sf), "quality", FEATURES + ["is_en"], top=5)
+    return feature_selection_consensus(doc_features(spark, sf), "quality", FEATURES + ["is_en"])
 
 
 @query("regression_study")

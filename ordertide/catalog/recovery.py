@@ -52,13 +52,14 @@ def attempt_breakdown(spark, sf):
 
 
 @query("country_breakdown", oracle=_SQL_ATTEMPTS + """
-SELECT country_code, count(*) AS n_attempts, count(DISTINCT user_id) AS n_deliveries,
-       CAST(sum(successful_AR) AS BIGINT) AS n_successful,
-       round(100 * avg(successful_AR), 4) AS success_rate_pct
-FROM a GROUP BY country_code HAVING count(*) >= 100
+SELECT country_code, count(DISTINCT user_id) AS n_deliveries,
+       count(DISTINCT user_id) FILTER (ever_successful = 1) AS ever_successful,
+       count(DISTINCT user_id) FILTER (ever_successful = 0) AS never_successful,
+       round(100.0 * count(DISTINCT user_id) FILTER (ever_successful = 1) / count(DISTINCT user_id), 4) AS success_rate_pct
+FROM a GROUP BY country_code
 """)
 def country_breakdown(spark, sf):
-    return R.country_breakdown(attempts(spark, sf), DELIVERY, "country_code", min_attempts=100)
+    return R.country_breakdown(attempts(spark, sf), DELIVERY, "country_code")
 
 
 @query("recovery_after_failure", oracle=_SQL_ATTEMPTS + """,

@@ -38,21 +38,6 @@ def _c(x: ColLike) -> Column:
 # size-checked broadcast
 # ---------------------------------------------------------------------------
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows of the (small) side.  Above
-    the bound the frame is returned unchanged and the join falls back to a
-    shuffle join chosen by AQE.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-# ---------------------------------------------------------------------------
-# dedup family
-# ---------------------------------------------------------------------------
-
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column],
                    tiebreak: Sequence[Column] = (), rank_col: str | None = None) -> DataFrame:
     """Keep the first row per ``keys`` under ``order_by`` (+ ``tiebreak``).

@@ -372,22 +372,24 @@ def rf_importance(df: DataFrame, target: str, cols: Sequence[str], trees: int =
                                            "feature string, importance double")
 
 
-def rfe(df: DataFrame, target: str, cols: Sequence[str], n_keep: int, step: int = 1) -> DataFrame:
-    """Recursive elimination with logistic regression (smallest |coef| out)."""
+def rfe(df: DataFrame, target: str, cols: Sequence[str], n_keep: int, step: int = 1, c: float = 1.0) -> DataFrame:
+    """Recursive elimination with L2 logistic regression (smallest |coef| out).
+
+    Kept features have rank 1, those eliminated last rank 2, and so on back to the
+    first elimination."""
     d = df.persist(StorageLevel.MEMORY_AND_DISK)
-    keep, rank, out = list(cols), len(cols), []
+    reg = 1.0 / (c * max(1, d.count()))
+    keep, rounds = list(cols), []
     while len(keep) > n_keep:
         x = VectorAssembler(inputCols=keep, outputCol="__x", handleInvalid="skip").transform(d)
-        m = LogisticRegression(featuresCol="__x", labelCol=target, maxIter=100).fit(x)
-        order = np.argsort(np.abs(m.coefficients.toArray()))
-        for i in order[:min(step, len(keep) - n_keep)]:
-            out.append((keep[i], rank))
-            rank -= 1
-        drop = {keep[i] for i in order[:min(step, len(keep) - n_keep)]}
-        keep = [c for c in keep if c not in drop]
-    out += [(c, 1) for c in keep]
+        m = LogisticRegression(featuresCol="__x", labelCol=target, maxIter=100, regParam=reg, elasticNetParam=0.0,
+                               standardization=False).fit(x)
+        out = np.argsort(np.abs(m.coefficients.toArray()))[:min(step, len(keep) - n_keep)]
+        rounds.append([keep[i] for i in out])
+        keep = [f for f in keep if f not in rounds[-1]]
     d.unpersist()
-    return df.sparkSession.createDataFrame(out, "feature string, rfe_rank int")
+    ranks = [(f, 1) for f in keep] + [(f, 2 + k) for k, own in enumerate(reversed(rounds)) for f in own]
+    return df.sparkSession.createDataFrame(ranks, "feature string, rfe_rank int")
 
 
 def l1_selection(df: DataFrame, target: str, cols: Sequence[str], c: float = 0.1) -> DataFrame:
@@ -402,8 +404,8 @@ def l1_selection(df: DataFrame, target: str, cols: Sequence[str], c: float = 0.1
                                            "feature string, coef double, selected boolean")
 
 
-def consensus(scores: dict[str, DataFrame], top: int = 30) -> DataFrame:
-    """Each score scaled by its maximum, averaged over methods, ranked.
+def consensus(scores: dict[str, DataFrame]) -> DataFrame:
+    """Each score scaled by its maximum, averaged over methods, all features ranked.
 
     Score tables are joined on the feature *name* (not by position).
     """
@@ -417,5 +419,4 @@ def consensus(scores: dict[str, DataFrame], top: int = 30) -> DataFrame:
     scaled = [F.coalesce(F.abs(F.col(m)) / F.lit(mx[m] or 1.0), F.lit(0.0)) for m in methods]
     acc = acc.withColumn("consensus_score", sum(scaled, F.lit(0.0)) / len(methods))
     from pyspark.sql import Window
-    acc = acc.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("consensus_score"), "feature")))
-    return acc.filter(F.col("rank") <= top)
+    return acc.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("consensus_score"), "feature")))

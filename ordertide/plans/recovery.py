@@ -69,15 +69,13 @@ def attempt_breakdown(a: DataFrame) -> DataFrame:
         F.round(100 * F.avg("successful_AR"), 4).alias("success_rate_pct"))
 
 
-def country_breakdown(a: DataFrame, delivery: Sequence[str], country: str,
-                      min_attempts: int = 100) -> DataFrame:
-    """Per country - volume and success rate, groups below ``min_attempts`` dropped."""
-    g = a.groupBy(country).agg(
-        F.count(F.lit(1)).alias("n_attempts"),
-        F.count_distinct(*[F.col(c) for c in delivery]).alias("n_deliveries"),
-        F.sum("successful_AR").alias("n_successful"),
-        F.round(100 * F.avg("successful_AR"), 4).alias("success_rate_pct"))
-    return g.filter(F.col("n_attempts") >= min_attempts).orderBy(F.desc("n_attempts"), country)
+def country_breakdown(a: DataFrame, delivery: Sequence[str], country: str) -> DataFrame:
+    """Per country - deliveries, those ever and never successful, and the success rate over deliveries."""
+    per = a.groupBy(*delivery).agg(F.min(country).alias(country), F.max("successful_AR").alias("ok"))
+    return per.groupBy(country).agg(
+        F.count(F.lit(1)).alias("n_deliveries"), F.sum("ok").cast("long").alias("ever_successful"),
+        F.sum(1 - F.col("ok")).cast("long").alias("never_successful"),
+        F.round(100 * F.avg("ok"), 4).alias("success_rate_pct")).orderBy(F.desc("n_deliveries"), country)
 
 
 def recovery_after_failure(a: DataFrame, delivery: Sequence[str]) -> DataFrame:

@@ -65,21 +65,23 @@ def multicollinearity_reduction(train: DataFrame, test: DataFrame, keys: Sequenc
     return tr, te, comparison
 
 
-def feature_selection_consensus(df: DataFrame, target: str, cols: Sequence[str], top: int = 30,
-                                n_keep_rfe: int = 3, trees: int = 20) -> DataFrame:
+def feature_selection_consensus(df: DataFrame, target: str, cols: Sequence[str], n_keep_rfe: int = 30,
+                                trees: int = 100) -> DataFrame:
     """Six selectors (variance, ANOVA F, binned MI, forest importance,
     RFE, L1) scaled by their maxima, averaged and ranked."""
     d = df.persist(StorageLevel.MEMORY_AND_DISK)
     cols = list(cols)
     scores = {
-        "variance": S.variance_filter(d, cols).select("feature", F.col("variance").alias("score")),
+        "variance": S.variance_filter(d, cols).select("feature", F.col("selected").cast("double").alias("score")),
         "anova": S.anova_f(d, target, cols).select("feature", F.col("f_score").alias("score")),
         "mi": S.binned_mutual_info(d, target, cols).select("feature", F.col("mutual_info").alias("score")),
         "rf": S.rf_importance(d, target, cols, trees=trees).select("feature", F.col("importance").alias("score")),
-        "rfe": S.rfe(d, target, cols, n_keep_rfe).select("feature", (1.0 / F.col("rfe_rank")).alias("score")),
-        "l1": S.l1_selection(d, target, cols, 0.1).select("feature", F.col("coef").alias("score")),
+        "l1": S.l1_selection(d, target, cols, 0.1).select("feature", F.col("selected").cast("double").alias("score")),
     }
-    return S.consensus(scores, top=top)
+    ranks = S.rfe(d, target, cols, min(n_keep_rfe, len(cols)))
+    last = ranks.agg(F.max("rfe_rank")).first()[0]
+    scores["rfe"] = ranks.select("feature", (F.lit(last) - F.col("rfe_rank") + 1.0).alias("score"))
+    return S.consensus(scores)
 
 
 def classifier_study(df: DataFrame, label: str, numeric: Sequence[str], categorical: str, ts: str,

@@ -1,4 +1,4 @@
-"""Session construction and shared-folder helpers.
+"""Session construction.
 
 Production jobs receive a session from the cluster; ``get_session`` only fills
 in settings that are still unset, so cluster-level configuration wins.
@@ -6,9 +6,6 @@ in settings that are still unset, so cluster-level configuration wins.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Defaults that every job in this package relies on.  AQE re-plans joins and
@@ -42,26 +39,3 @@ def get_session(master: str | None = None, app: str = "ordertide",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts.
-
-    Reads ``spark.checkpoint.dir`` from the session (a cluster names a shared,
-    fault-tolerant folder there).  Only when it is unset - local tests - a
-    scratch folder is created and registered.
-    """
-    sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not path:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        path = tempfile.mkdtemp(prefix="ordertide-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
-    return path
-
-
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
