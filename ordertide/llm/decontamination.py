@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 from ordertide.llm.common import map_arrow, text_bytes
 
 STRIDE = 4
-STEPS = 64                # length of a walk's prefix; it covers about half as many characters
+STEPS = 64                # longest prefix of a walk; it covers about half as many characters
+#: (least item length, steps of a walk, anchor stride): short items need walks that end inside them.
+CLASSES = ((80, 64, STRIDE), (48, 32, STRIDE), (24, 16, 1), (8, 8, 1), (1, 1, 1))
 SAMPLED = 14
 WALKS, SAMPLES = 3, 2     # repetitions: walks, and keys drawn from each
 MAX_EDITS = 0.2           # of the item's length
@@ -39,21 +41,21 @@ def normal(text: bytes) -> bytes:
     return b" ".join(text.lower().split())
 
 
-def _random(walk: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+def _random(walk: int, steps: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     rng = np.random.default_rng(1000 + walk)
-    moves = rng.integers(0, 2, (STEPS, 256), dtype=np.int64)
-    return moves, [np.sort(rng.choice(STEPS, SAMPLED, replace=False)) for _ in range(SAMPLES)], rng.integers(1, 1 << 62, STEPS) * 2 + 1
+    moves, n = rng.integers(0, 2, (STEPS, 256), dtype=np.int64), min(SAMPLED, (steps + 1) // 2)
+    return moves, [np.sort(rng.choice(steps, n, replace=False)) for _ in range(SAMPLES)], rng.integers(1, 1 << 62, STEPS) * 2 + 1
 
 
-def embed(data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+def embed(data: np.ndarray, at: np.ndarray, steps: int = STEPS) -> list[np.ndarray]:
     """Keys of the walks that start at the positions ``at``; one array per repetition.
     ``data`` is a byte array that ends with ``STEPS`` zeros."""
     out = []
     for walk in range(WALKS):
-        moves, samples, factor = _random(walk)
+        moves, samples, factor = _random(walk, steps)
         keys = [np.zeros(len(at), np.uint64) for _ in range(SAMPLES)]
         pos = at.copy()
-        for j in range(STEPS):
+        for j in range(steps):
             c = data[pos]
             for z, own in enumerate(samples):
                 if j in own:
@@ -78,29 +80,44 @@ def _word_starts(data: np.ndarray) -> np.ndarray:
 
 
 class ItemIndex:
-    """LSH keys of every word of a bounded block of items."""
+    """LSH keys of every word of a bounded block of items, by size class."""
 
     def __init__(self, items: list[tuple[int, bytes]]):
-        self.items = [(i, t) for i, t in ((i, normal(t)) for i, t in items) if t]
-        self.stride = min([STRIDE, *(t.count(b" ") + 1 for _, t in self.items)])
-        data, starts = _padded([t for _, t in self.items])
+        self.items = sorted(((i, t) for i, t in ((i, normal(t)) for i, t in items) if t), key=lambda x: (len(x[1]), x))
+        size = np.array([len(t) for _, t in self.items], np.int64)
+        self.classes, end = [], len(size)
+        for least, steps, stride in CLASSES:
+            first = int(np.searchsorted(size, least))
+            own = [t for _, t in self.items[first:end]]
+            if own:
+                self.classes.append((steps, min([stride, *(t.count(b" ") + 1 for t in own)]), self._tables(own, first, steps)))
+            end = first
+
+    @staticmethod
+    def _tables(texts: list[bytes], first: int, steps: int) -> list[tuple]:
+        data, starts = _padded(texts)
         at = _word_starts(data)
         item = np.searchsorted(starts, at, "right") - 1
-        self.tables = []
-        for k in embed(data, at):
+        out = []
+        for k in embed(data, at, steps):
             order = np.argsort(k, kind="stable")
             known = np.zeros(1 << _TABLE_BITS, bool)
             known[(k >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
-            self.tables.append((known, k[order], item[order], (at - starts[item])[order]))
-
-    def candidates(self, data: np.ndarray, at: np.ndarray):
-        """(anchor position, item, offset in the item) of equal keys."""
-        for k, (known, keys, item, offset) in zip(embed(data, at), self.tables):
-            hit = np.nonzero(known[(k >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)])[0]
-            lo, hi = np.searchsorted(keys, k[hit], "left"), np.searchsorted(keys, k[hit], "right")
-            n = hi - lo
-            rows = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            yield np.repeat(at[hit], n), item[rows], offset[rows]
+            out.append((known, k[order], item[order] + first, (at - starts[item])[order]))
+        return out
+
+    def candidates(self, data: np.ndarray, words: np.ndarray):
+        """(anchor position, item, offset in the item) of equal keys; ``words`` are the starts of words."""
+        for steps, stride, tables in self.classes:
+            anchors = words[::stride]
+            for s in range(0, len(anchors), _CHUNK):
+                at = anchors[s:s + _CHUNK]
+                for k, (known, keys, item, offset) in zip(embed(data, at, steps), tables):
+                    hit = np.nonzero(known[(k >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)])[0]
+                    lo, hi = np.searchsorted(keys, k[hit], "left"), np.searchsorted(keys, k[hit], "right")
+                    n = hi - lo
+                    rows = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                    yield np.repeat(at[hit], n), item[rows], offset[rows]
 
 
 def edit_distance(item: bytes, window: bytes, limit: int) -> int | None:
@@ -127,20 +144,18 @@ def search(texts: list[bytes], index: ItemIndex, max_edits: float) -> list[tuple
     """(text number, item number, edit distance) of the verified matches, best distance each."""
     texts = [normal(t) for t in texts]
     data, starts = _padded(texts)
-    anchors = _word_starts(data)[::index.stride]
     best: dict[tuple[int, int], int] = {}
     seen = set()
-    for s in range(0, len(anchors), _CHUNK):
-        for at, item, offset in index.candidates(data, anchors[s:s + _CHUNK]):
-            doc = np.searchsorted(starts, at, "right") - 1
-            for d, i, p in zip(doc.tolist(), item.tolist(), (at - starts[doc] - offset).tolist()):
-                text, limit = index.items[i][1], math.floor(max_edits * len(index.items[i][1]))
-                if (d, i, p // (limit + 1)) in seen:
-                    continue
-                seen.add((d, i, p // (limit + 1)))
-                got = edit_distance(text, texts[d][max(0, p - 2 * limit - 1):max(0, p + len(text) + 2 * limit + 1)], limit)
-                if got is not None and got < best.get((d, i), len(text) + 1):
-                    best[d, i] = got
+    for at, item, offset in index.candidates(data, _word_starts(data)):
+        doc = np.searchsorted(starts, at, "right") - 1
+        for d, i, p in zip(doc.tolist(), item.tolist(), (at - starts[doc] - offset).tolist()):
+            text, limit = index.items[i][1], math.floor(max_edits * len(index.items[i][1]))
+            if (d, i, p // (limit + 1)) in seen:
+                continue
+            seen.add((d, i, p // (limit + 1)))
+            got = edit_distance(text, texts[d][max(0, p - 2 * limit - 1):max(0, p + len(text) + 2 * limit + 1)], limit)
+            if got is not None and got < best.get((d, i), len(text) + 1):
+                best[d, i] = got
     return [(d, i, n) for (d, i), n in best.items()]
 
 
@@ -163,9 +178,8 @@ def find_leaks(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
 
     Texts are compared lower-cased (A-Z) with runs of ASCII white space as one space.
     Null and empty texts hold nothing and empty items are held by none; items and
-    documents with a null id are left out; repeated rows give one result row.  Items
-    with fewer words than the stride make the search of their block use a shorter
-    stride.  Items that repeat under other ids match each under its own id.  Empty
+    documents with a null id are left out; repeated rows give one result row.  Short
+    items have shorter walks and strides of their own (``CLASSES``).  Items that repeat under other ids match each under its own id.  Empty
     tables give an empty result.  Recall is that of the LSH, see the tests."""
     src = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), text_bytes(F.col(text_col)).alias("text"))
     schema = "id long, item_id long, edits long"
