@@ -14,7 +14,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, train_ro
     smallest hash of their id, so the sample doesn't depend on order or
     partitioning; texts over ``max_bytes`` aren't learnt from, so what reaches the
     driver is bounded.  Null ids, texts and other labels are left out; an id with
-    several labels takes the largest."""
+    several labels takes the largest, an id with several texts the first in order."""
     lab = (labels.where(train_rows).select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("y"))
            .where("i IS NOT NULL AND y IN (0, 1)").groupBy("i").agg(F.max("y").alias("y")))
     src = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("i IS NOT NULL AND t IS NOT NULL")
@@ -26,4 +26,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, train_ro
         return []
     chosen = src.sparkSession.createDataFrame(picked, able.schema)
     rows = src.join(F.broadcast(chosen), "i").where(F.octet_length("t") <= max_bytes)  # at most 2 * per_class ids
-    return [(r.t, r.y) for r in sorted(rows.collect(), key=lambda r: (r.i, r.t))]
+    rows = rows.groupBy("i", "y").agg(F.min("t").alias("t"))
+    return [(r.t, r.y) for r in sorted(rows.collect(), key=lambda r: r.i)]
