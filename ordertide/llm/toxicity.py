@@ -1,10 +1,11 @@
 """Toxicity by subword-bag embeddings under a linear softmax.
 
 A word is the average of the embeddings of its character n-grams and of itself
-(hashed), a window of words the average of its words; a linear softmax stands on
+(hashed), a set of words the average of its words; a linear softmax stands on
 top.  Embeddings and softmax are trained jointly in numpy.  Unseen misspellings
-share character n-grams with words that were seen.  A text scores as its most
-toxic window, in training as in use, so a few words in a long text still count.
+share character n-grams with words that were seen.  A text is averaged over its
+``TOP`` most toxic distinct words, in training as in use, so a few words in a long
+text still count, wherever they stand, and a repeated word counts once.
 """
 
 from __future__ import annotations
@@ -23,17 +24,17 @@ from ordertide.llm.common import Memo, map_arrow, text_bytes
 BUCKETS = 1 << 16
 DIMS = 8
 GRAMS = (3, 4, 5)
-WINDOW, STEP = 4, 2
+TOP = 4
 PER_CLASS = 2_000         # labelled rows of each class to learn from
 MAX_BYTES = 1 << 16       # longest text to learn from
-EPOCHS, BATCH, RATE = 12, 64, 0.3
+EPOCHS, BATCH, RATE = 20, 64, 0.1
 _EDGE = string.punctuation
 _PART = 20_000            # words hashed at a time
 
 
 def words(text: str) -> list[str]:
-    """Lower-cased words without punctuation at their ends."""
-    return [w for w in (x.strip(_EDGE) for x in text.lower().split()) if w]
+    """Distinct lower-cased words without punctuation at their ends, as first met."""
+    return [w for w in dict.fromkeys(x.strip(_EDGE) for x in text.lower().split()) if w]
 
 
 def subwords(ws: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -69,22 +70,11 @@ class Model:
         return np.concatenate(out) if out else np.zeros(0)
 
     def score(self, logits: np.ndarray) -> float:
-        """Probability of the most toxic window of a text's word logits."""
-        if len(logits):
-            starts, ends = windows(len(logits))
-            total = np.concatenate(([0.0], np.cumsum(logits)))
-            top = float(((total[ends] - total[starts]) / (ends - starts)).max())
-        else:
-            top = 0.0
+        """Probability for the word logits of a text."""
+        top = float(np.sort(logits)[-TOP:].mean()) if len(logits) else 0.0
         return float(1 / (1 + np.exp(-np.clip(top + self.bias, -500, 500))))
 
 
-def windows(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of windows that cover ``n`` words."""
-    starts = np.arange(0, max(1, n - WINDOW + STEP), STEP)
-    return starts, np.minimum(starts + WINDOW, n)
-
-
 def fit(sample: list[tuple[str, int]], seed: int = 1) -> Model:
     """Train on (text, label) pairs; without both labels the model scores all texts alike
     (0.5 without any, else near the only label)."""
@@ -110,22 +100,17 @@ def fit(sample: list[tuple[str, int]], seed: int = 1) -> Model:
     for _ in range(EPOCHS):
         gain = emb @ (soft[:, 1] - soft[:, 0])
         logit = np.add.reduceat(gain[bucket], first) / n_sub
-        chosen = []
-        for d, _y in docs:
-            s, e = windows(len(d))
-            total = np.concatenate(([0.0], np.cumsum(logit[d])))
-            k = int(((total[e] - total[s]) / (e - s)).argmax())
-            chosen.append(d[s[k]:e[k]])
+        chosen = [d[np.argsort(-logit[d], kind="stable")[:TOP]] for d, _y in docs]
         turn = rng.permutation(len(docs))
         for at in range(0, len(turn), BATCH):
             own = turn[at:at + BATCH]
             ids = np.concatenate([chosen[i] for i in own])
             n = np.array([len(chosen[i]) for i in own])
-            win = np.repeat(np.arange(len(own)), n)
+            of = np.repeat(np.arange(len(own)), n)
             k = n_sub[ids]
-            row = np.repeat(win, k)
+            row = np.repeat(of, k)
             col = bucket[np.repeat(first[ids] - (np.cumsum(k) - k), k) + np.arange(k.sum())]
-            share = np.repeat(1 / (n[win] * k), k)
+            share = np.repeat(1 / (n[of] * k), k)
             hidden = np.stack([np.bincount(row, share * emb[col, j], len(own)) for j in range(DIMS)], 1)
             z = hidden @ soft + bias
             p = np.exp(z - z.max(1, keepdims=True))
