@@ -29,7 +29,7 @@ STEPS = 64                # longest prefix of a walk; it covers about half as ma
 #: (least item length, steps of a walk, anchor stride): short items need walks that end inside them.
 CLASSES = ((80, 64, STRIDE), (48, 32, STRIDE), (24, 16, 1), (8, 8, 1), (1, 1, 1))
 SAMPLED = 14
-WALKS, SAMPLES = 3, 2     # repetitions: walks, and keys drawn from each
+WALKS, SAMPLES = 5, 2     # repetitions: walks, and keys drawn from each
 MAX_EDITS = 0.2           # of the item's length
 ITEM_BLOCK_BYTES = 8 << 20
 _CHUNK = 1 << 16          # anchors embedded at a time
