@@ -30,6 +30,7 @@ MAX_BYTES = 1 << 16       # longest text to learn from
 EPOCHS, BATCH, RATE = 20, 64, 0.1
 _EDGE = string.punctuation
 _PART = 20_000            # words hashed at a time
+_ROWS = 250               # texts whose words are held at a time
 
 
 def words(text: str) -> list[str]:
@@ -135,7 +136,7 @@ def toxicity_scores(df: DataFrame, model: Model, id_col: str = "doc_id", text_co
     ``score`` is from 0 to 1, ``predicted`` 1 from ``threshold`` on.  Null and empty
     texts score as the bias alone; null ids and repeated rows are kept; an empty
     table gives an empty result."""
-    memo_size = 300_000
+    memo_size = 100_000
 
     def logits(texts: list[str], memo: Memo) -> list[float]:
         split = [words(t) for t in texts]
@@ -144,7 +145,7 @@ def toxicity_scores(df: DataFrame, model: Model, id_col: str = "doc_id", text_co
 
     def run(batches):
         memo = Memo(memo_size)
-        for b in batches:
+        for b in (x.slice(at, _ROWS) for x in batches for at in range(0, x.num_rows, _ROWS)):
             s = np.array(logits([t.decode("utf-8", "replace") for t in b.column(b.num_columns - 1).to_pylist()], memo))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s, pa.float64()), pa.array(s >= threshold).cast(pa.int32())],
                                              names=[f"c{i}" for i in range(b.num_columns + 1)])
