@@ -16,6 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -64,9 +67,17 @@ def ship(spark: SparkSession) -> None:
     sc._ordertide_shipped = True
 
 
+def prepare(spark: SparkSession) -> None:
+    """Before Python functions run: this package on the executors, and Arrow batches
+    bounded by bytes too (a session that sets a bound keeps its own)."""
+    ship(spark)
+    if spark.conf.get(_BATCH_BYTES, None) is None:
+        spark.conf.set(_BATCH_BYTES, "16m")
+
+
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package on the executors."""
-    ship(df.sparkSession)
+    """``mapInArrow`` with this package on the executors and bounded batches."""
+    prepare(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 

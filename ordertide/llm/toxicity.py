@@ -11,6 +11,7 @@ text still count, wherever they stand, and a repeated word counts once.
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordertide.llm.common import Memo, map_arrow, text_bytes
+from ordertide.llm.common import Memo, prepare, text_bytes
 
 BUCKETS = 1 << 16
 DIMS = 8
@@ -143,17 +144,19 @@ def toxicity_scores(df: DataFrame, model: Model, id_col: str = "doc_id", text_co
         of = memo.known((w for x in split for w in x), lambda new: model.word_logits(new).tolist())
         return [model.score(np.array([of[w] for w in x])) for x in split]
 
-    def run(batches):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         memo = Memo(memo_size)
-        for b in (x.slice(at, _ROWS) for x in batches for at in range(0, x.num_rows, _ROWS)):
-            s = np.array(logits([t.decode("utf-8", "replace") for t in b.column(b.num_columns - 1).to_pylist()], memo))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s, pa.float64()), pa.array(s >= threshold).cast(pa.int32())],
-                                             names=[f"c{i}" for i in range(b.num_columns + 1)])
-
-    kept = [c for c in df.columns if c not in ("toxic_score", "toxic_predicted")] if keep_columns else [id_col]
-    src = df.select(*[df[f"`{c}`"] for c in kept], text_bytes(F.col(text_col)).alias("text bytes"))
-    fields = src.schema.fields[:-1]
-    schema = ", ".join([f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(fields)]
-                       + [f"c{len(fields)} double", f"c{len(fields) + 1} int"])
-    names = [*kept, "toxic_score", "toxic_predicted"] if keep_columns else ["id", "score", "predicted"]
-    return map_arrow(src, run, schema).toDF(*names)
+        for b in batches:
+            out = []
+            for at in range(0, len(b), _ROWS):
+                out += logits([t.decode("utf-8", "replace") for t in b.slice(at, _ROWS).to_pylist()], memo)
+            yield pa.array(out, pa.float64())
+
+    prepare(df.sparkSession)
+    # only the text travels to Python, and only the score back
+    score = F.arrow_udf(run, returnType="double")(text_bytes(df[f"`{text_col}`"]))
+    kept, names = [df[f"`{id_col}`"].alias("id")], ("score", "predicted")
+    if keep_columns:
+        names = ("toxic_score", "toxic_predicted")
+        kept = [df[f"`{c}`"] for c in df.columns if c not in names]
+    return df.select(*kept, score.alias(names[0])).withColumn(names[1], (F.col(names[0]) >= threshold).cast("int"))
