@@ -12,14 +12,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordertide.llm.common import map_arrow, Memo, space_segments, text_bytes
+from ordertide.llm.common import map_arrow, Memo, space_segments, text_bytes, worker_state
 
 BATCH_PIECES = 40_000     # pieces contracted by one recursive query
 LONG_PIECE = 256          # bytes; longer pieces contract all occurrences of their lowest pair per step
@@ -145,10 +144,10 @@ class Bpe:
         return [b"".join([of[p] for p in s]) for s in split]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text; distinct segments are contracted once."""
-        split = [space_segments(t) for t in texts]
-        of = self.memo.known((s for x in split for s in x), self._learn)
-        return [np.frombuffer(b"".join([of[s] for s in x]), np.int32) for x in split]
+        """Ids of each text; distinct segments are contracted once.  Texts are split
+        twice: holding the segments of all of them takes ten times their size."""
+        of = self.memo.known((s for t in texts for s in space_segments(t)), self._learn)
+        return [np.frombuffer(b"".join([of[s] for s in space_segments(t)]), np.int32) for t in texts]
 
     def as_text(self, ids: np.ndarray) -> str:
         decimal = self.decimal
@@ -182,12 +181,11 @@ class Bpe:
         return [b"".join(x) for x in out]
 
 
-@lru_cache(maxsize=2)
 def _bpe(ranks_path: str, pattern: str) -> Bpe:
-    return Bpe(ranks_path, pattern)
+    return worker_state(("bpe", ranks_path, pattern), lambda: Bpe(ranks_path, pattern))
 
 
-_ROWS = 4_000  # texts encoded together
+_ROWS = 2_000  # texts encoded together
 
 
 def _texts(batches):
@@ -215,7 +213,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
                 [ids, pa.array(bpe.encode(texts), pa.list_(pa.int32()))], names=["id", "ids"])
 
     src, kind = _source(df, id_col, text_col)
-    return map_arrow(src, run, f"id {kind}, ids array<int>")
+    return map_arrow(src, run, f"id {kind}, ids array<int>", keeps=True)
 
 
 def decode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "id", ids_col: str = "ids") -> DataFrame:
@@ -235,7 +233,7 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "id", ids
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.binary())], names=["id", "bytes"])
 
     src = df.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
-    return map_arrow(src, run, f"id {src.schema['id'].dataType.simpleString()}, bytes binary")
+    return map_arrow(src, run, f"id {src.schema['id'].dataType.simpleString()}, bytes binary", keeps=True)
 
 
 def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -255,4 +253,4 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
                 names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     src, kind = _source(df, id_col, text_col)
-    return map_arrow(src, run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_arrow(src, run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string", keeps=True)

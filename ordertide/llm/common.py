@@ -6,12 +6,15 @@ ones whose names clash with an operator's own) never matter.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 import tempfile
 import uuid
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,10 +78,40 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(_BATCH_BYTES, "16m")
 
 
-def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package on the executors and bounded batches."""
+def map_arrow(df: DataFrame, fn, schema: str, keeps: bool = False) -> DataFrame:
+    """``mapInArrow`` with this package on the executors and bounded batches; ``keeps``
+    says that ``fn`` uses ``worker_state``."""
+    def run(batches):
+        if not keeps:
+            forget()
+        yield from fn(batches)
+
     prepare(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(run, schema)
+
+
+_state: dict = {}
+
+
+def worker_state(key, make):
+    """What a Python worker keeps between tasks (tables, memos): the state of one key
+    at a time.  Tasks that keep nothing drop it, so that a worker which Spark uses
+    again doesn't carry the memory of an earlier stage."""
+    if key not in _state:
+        forget()
+        _state[key] = make()
+    return _state[key]
+
+
+def forget() -> None:
+    """Drop the kept state and give freed memory back to the system."""
+    if _state:
+        _state.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # a function of glibc
+    if trim:
+        trim(0)
 
 
 def fold(id_col: Column, n: int) -> Column:

@@ -133,8 +133,8 @@ def quality_scores(df: DataFrame, model: Model, id_col: str = "doc_id", text_col
     def run(batches):
         memo = Memo(memo_size)
         for b in batches:
-            for at in range(0, b.num_rows, 2_000):
-                part = b.slice(at, 2_000)
+            for at in range(0, b.num_rows, 500):
+                part = b.slice(at, 500)
                 texts = [t.decode("utf-8", "replace") for t in part.column(1).to_pylist()]
                 split = [t.split() for t in texts]
                 of = memo.known((w for x in split for w in x), lambda new: [_bucket(w) for w in new])

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordertide.llm.common import Memo, prepare, text_bytes
+from ordertide.llm.common import Memo, forget, prepare, text_bytes
 
 BUCKETS = 1 << 16
 DIMS = 8
@@ -145,6 +145,7 @@ def toxicity_scores(df: DataFrame, model: Model, id_col: str = "doc_id", text_co
         return [model.score(np.array([of[w] for w in x])) for x in split]
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        forget()
         memo = Memo(memo_size)
         for b in batches:
             out = []
