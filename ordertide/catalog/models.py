@@ -18,8 +18,9 @@ from ordertide.operators import stats as S
 FEATURES = ["n_chars", "n_words", "n_lines", "n_digits", "n_upper", "n_punct"]
 
 
-def doc_features(spark, sf):
-    """Per labelled document: text counts, shares, language flag, targets."""
+def doc_features(spark, sf, labelled=True):
+    """Text counts, language flag and targets per document; without ``labelled`` also
+    for documents that have no label (targets NULL)."""
     d = table(spark, sf, "documents")
     t = F.col("text")
     f = d.select(
@@ -32,7 +33,7 @@ def doc_features(spark, sf):
         F.length(F.regexp_replace(t, "[^.,;:!?]", "")).cast("double").alias("n_punct"),
         (F.col("lang") == "en").cast("double").alias("is_en"))
     lab = table(spark, sf, "labels")
-    return f.join(lab, "doc_id")
+    return f.join(lab, "doc_id", "inner" if labelled else "left")
 
 
 _SQL_FEATURES = r"""
@@ -45,41 +46,42 @@ f AS (SELECT d.doc_id, CAST(d.n_chars AS DOUBLE) AS n_chars,
              l.quality, l.toxic
       FROM documents d JOIN labels l ON l.doc_id = d.doc_id)
 """
+_SQL_ALL_FEATURES = _SQL_FEATURES.replace("documents d JOIN", "documents d LEFT JOIN")
 
 
-@query("doc_features", oracle="WITH " + _SQL_FEATURES + "SELECT * FROM f")
+@query("doc_features", oracle="WITH " + _SQL_ALL_FEATURES + "SELECT * FROM f")
 def doc_features_q(spark, sf):
-    return doc_features(spark, sf).drop("is_en")
+    return doc_features(spark, sf, labelled=False).drop("is_en")
 
 
 # --------------------------------------------------------------------------
 # VIF
 # --------------------------------------------------------------------------
 
-@query("vif_pair_centred", oracle="WITH " + _SQL_FEATURES + """
+@query("vif_pair_centred", oracle="WITH " + _SQL_ALL_FEATURES + """
 SELECT 'n_words' AS feature, round(1 / (1 - corr(n_words, n_punct) ^ 2), 6) AS vif FROM f
 UNION ALL SELECT 'n_punct', round(1 / (1 - corr(n_words, n_punct) ^ 2), 6) FROM f
 """)
 def vif_pair_centred(spark, sf):
     """J2 with two features: equals 1 / (1 - r^2)."""
-    v = S.vif(doc_features(spark, sf), ["n_words", "n_punct"], intercept=True)
+    v = S.vif(doc_features(spark, sf, labelled=False), ["n_words", "n_punct"], intercept=True)
     return v.withColumn("vif", F.round("vif", 6))
 
 
 @query("vif_centred")
 def vif_centred(spark, sf):
-    return S.vif(doc_features(spark, sf), FEATURES, intercept=True)
+    return S.vif(doc_features(spark, sf, labelled=False), FEATURES, intercept=True)
 
 
 @query("vif_uncentred")
 def vif_uncentred(spark, sf):
-    return S.vif(doc_features(spark, sf), FEATURES, intercept=False)
+    return S.vif(doc_features(spark, sf, labelled=False), FEATURES, intercept=False)
 
 
 @query("vif_reduction")
 def vif_reduction(spark, sf):
     """J4 + J3: drop n_chars, then the worst until all VIF < 10; summary."""
-    _, table_ = S.vif_reduce(doc_features(spark, sf), FEATURES, drop=["n_chars"], threshold=10.0)
+    _, table_ = S.vif_reduce(doc_features(spark, sf, labelled=False), FEATURES, drop=["n_chars"], threshold=10.0)
     return S.vif_summary(table_)
 
 
@@ -164,11 +166,11 @@ def logit_stepwise(spark, sf):
 # Feature scores and consensus
 # --------------------------------------------------------------------------
 
-@query("variance_filter", oracle="WITH " + _SQL_FEATURES + "\nUNION ALL ".join(
+@query("variance_filter", oracle="WITH " + _SQL_ALL_FEATURES + "\nUNION ALL ".join(
     f"SELECT '{c}' AS feature, round(var_pop({c}), 6) AS variance, var_pop({c}) > 0.01 AS selected FROM f"
     for c in FEATURES))
 def variance_filter(spark, sf):
-    v = S.variance_filter(doc_features(spark, sf), FEATURES, 0.01)
+    v = S.variance_filter(doc_features(spark, sf, labelled=False), FEATURES, 0.01)
     return v.withColumn("variance", F.round("variance", 6))
 
 
@@ -213,7 +215,7 @@ def multicollinearity_reduction(spark, sf):
     """K15 (J5 + J6): VIF split at 10, PCA on the collinear rest (train fit), VIF before / after."""
     from ordertide.operators.prep import time_split
     from ordertide.plans.studies import multicollinearity_reduction as reduce_
-    d = doc_features(spark, sf).withColumn("__t", F.timestamp_seconds("doc_id"))
+    d = doc_features(spark, sf, labelled=False).withColumn("__t", F.timestamp_seconds("doc_id"))
     d = time_split(d, "__t", ["doc_id"], 0.8)
     _, _, comparison = reduce_(d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test"),
                                ["doc_id", "quality"], FEATURES, threshold=10.0)
