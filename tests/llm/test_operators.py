@@ -393,6 +393,48 @@ def test_decontamination(spark, docs, empty):
     assert [tuple(r) for r in found.collect()] == [(5, 1, 0)]
 
 
+@pytest.mark.parametrize("least,most,count", [(8, 15, 40), (16, 23, 40), (24, 30, 100), (48, 60, 100), (80, 90, 200), (81, 149, 200), (150, 394, 100)])
+def test_decontamination_recall(spark, least, most, count):
+    """Items with random insertions, deletions and substitutions inside other texts."""
+    rng = random.Random(least)
+    source = [decontamination.normal(r.text.encode()) for r in spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").orderBy("item_id").collect()]
+    clean = [decontamination.normal(r.text.encode()) for r in spark.read.parquet(f"{SF}/documents.parquet").where("n_chars > 500").orderBy("doc_id").limit(40).collect()]
+    items = []
+    while len(items) < count:
+        t, size = rng.choice(source), rng.randint(least, most)
+        at = 1 + t.rfind(b" ", 0, rng.randrange(max(1, len(t) - size + 1)))
+        if least <= len(t[at:at + size].strip()):
+            items.append(t[at:at + size].strip())
+    index = decontamination.ItemIndex(list(enumerate(items)))
+    for rate in (0.1, 0.15, 0.2):
+        texts = []
+        for t in items:
+            s = list(t)
+            for _ in range(math.floor(rate * len(t))):
+                at, kind = rng.randrange(len(s)), rng.randrange(3)
+                s[at:at + (kind > 0)] = [rng.choice(b"abcdefghijklmnopqrstuvwxyz ")] * (kind < 2)
+            host = rng.choice(clean)[:400]
+            cut = rng.randrange(len(host))
+            texts.append(host[:cut] + b" " + bytes(s) + b" " + host[cut:])
+        found = decontamination.search(texts, index, decontamination.MAX_EDITS)
+        recall = len({d for d, i, _ in found if index.items[i][0] == d}) / count
+        print(f"{least}-{most} bytes, {rate:.0%} edits: recall {recall:.2f}")
+        assert recall >= 0.9
+
+
+def test_piece_distances():
+    rng = random.Random(7)
+    text = lambda n: bytes(rng.choice(b"abc") for _ in range(n))
+    index = decontamination.ItemIndex([(k, text(rng.randint(1, 150))) for k in range(60)])
+    windows = [text(rng.randint(0, 200)) for _ in range(60)]
+    data, lo = decontamination._padded(windows)
+    item = np.array([rng.randrange(60) for _ in windows])
+    for piece in range(3):
+        use = np.nonzero(index.size[item] > 64 * piece)[0]
+        got = decontamination.piece_distances(index, item[use], piece, data, lo[use], lo[use] + np.array([len(w) for w in windows])[use])
+        assert got.tolist() == [decontamination.edit_distance(index.items[i][1][64 * piece:64 * piece + 64], windows[k], 64) for i, k in zip(item[use], use)]
+
+
 def test_warc(spark):
     big = "<p>" + "x" * 200
     rows = [(5, "http://b.example.com/1", big), (3, "http://b.example.com/1", big), (9, None, big), (4, "http://[bad", None), (6, "https://a.example.org:8443/q?x=1 2", "é"),
