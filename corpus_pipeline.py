@@ -40,9 +40,8 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    leaks = decontamination.find_leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("id").alias("leak")).distinct()
-    return docs.join(leaks, docs["doc_id"] == leaks["leak"], "left_anti")
+    """Rows that hold no benchmark item, whether document or item has an id or not."""
+    return decontamination.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -299,3 +299,21 @@ def find_leaks(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
 
         out = out.unionByName(map_arrow(src, run, schema))
     return out.groupBy("id", "item_id").agg(F.min("edits").alias("edits"))
+
+
+def drop_leaks(df: DataFrame, items: DataFrame, text_col: str = "text", item_text_col: str = "text", max_edits: float = MAX_EDITS) -> DataFrame:
+    """The rows of ``df`` whose text holds no item, as ``find_leaks`` sees it.  Every row
+    is judged by its own text and every item counts, with or without an id."""
+    place, schema = df.columns.index(text_col), df.schema
+    for block in item_blocks(items.select(F.lit(0).alias("i"), F.col(item_text_col).alias("t")), "i", "t"):
+        def run(batches, block=block):
+            index = ItemIndex(block)
+            for b in batches:
+                for s in range(0, b.num_rows, 1_000):
+                    part = b.slice(s, 1_000)
+                    texts = [(t or "").encode() for t in part.column(place).to_pylist()]
+                    held = {d for d, _, _ in search(texts, index, max_edits)} if index.items else ()
+                    yield part.filter(pa.array([d not in held for d in range(len(texts))], pa.bool_()))
+
+        df = map_arrow(df, run, schema)
+    return df

@@ -518,3 +518,15 @@ def test_pipeline_keeps_clean_edge_rows(spark, docs):
     ids = [r.doc_id for r in out if r.doc_id is not None]
     assert len(ids) == len(set(ids)) and sum(r.doc_id is None for r in out) == 2
     assert zlib.crc32(b"1") % 5 in range(5)
+
+
+def test_pipeline_decontaminates_rows_and_items_without_id(spark, docs, tmp_path):
+    import corpus_pipeline as pipe
+    first, second = "the first item has an id and some more words to it", "another item without any id and with words of its own"
+    spark.createDataFrame([(1, first), (None, second), (2, None), (3, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    own = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    dirty = [(None, "so " + first.upper()), (70, "so  " + second), (None, second), (71, first), (71, "a clean text under the id of another")]
+    more = own.unionByName(spark.createDataFrame([(i, t, "en", None, None) for i, t in dirty], own.schema))
+    out = dict(pipe.STAGES)["decontamination"](spark, more, str(tmp_path))
+    assert out.columns == own.columns
+    assert rows_of(out, "doc_id", "text") == rows_of(own.unionByName(spark.createDataFrame([(*dirty[-1], "en", None, None)], own.schema)), "doc_id", "text")
