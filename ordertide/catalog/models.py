@@ -228,7 +228,7 @@ def classifier_study(spark, sf):
     from ordertide.plans.studies import classifier_study as study
     d = doc_features(spark, sf).join(table(spark, sf, "documents").select("doc_id", "lang"), "doc_id")
     d = d.withColumn("__t", F.timestamp_seconds("doc_id"))
-    return study(d, "quality", FEATURES, "lang", "__t", ["doc_id"], min_count=110, n_trials=2)
+    return study(d, "quality", FEATURES, "lang", "__t", ["doc_id"], min_count=110)
 
 
 # --------------------------------------------------------------------------
@@ -239,7 +239,7 @@ def classifier_study(spark, sf):
 def rf_balanced(spark, sf):
     """J26 + J36: class-weighted forest, importance table."""
     d = doc_features(spark, sf)
-    m = M.rf_balanced(d, "quality", FEATURES + ["is_en"], trees=30)
+    m = M.rf_balanced(d, "quality", FEATURES + ["is_en"])
     return M.feature_importance(m, FEATURES + ["is_en"], spark)
 
 
@@ -250,7 +250,7 @@ def gbt_weighted(spark, sf):
     d = doc_features(spark, sf).withColumn("__t", F.timestamp_seconds("doc_id"))
     d = time_split(d, "__t", ["doc_id"], 0.8).withColumn("is_valid", F.col("split") == "test")
     cols = FEATURES + ["is_en"]
-    m = M.gbt_weighted(d, "quality", cols, valid_col="is_valid", max_iter=20)
+    m = M.gbt_weighted(d, "quality", cols, valid_col="is_valid")
     scored = M.score_batch(m, d, cols)
     return M.classification_report(scored, "quality", "prediction")
 
@@ -260,7 +260,7 @@ def cv_search(spark, sf):
     """J30 + J31: 3-fold CV over a seeded random grid, best params and metric."""
     d = doc_features(spark, sf)
     est, space = M.model_factory("random_forest", label="quality")
-    cv = M.cv_search(d, "quality", FEATURES + ["is_en"], est, space, n_trials=3)
+    cv = M.cv_search(d, "quality", FEATURES + ["is_en"], est, space)
     best = cv.bestModel
     return spark.createDataFrame([(int(best.getNumTrees), int(best.getMaxDepth()), float(max(cv.avgMetrics)))],
                                  "num_trees int, max_depth int, best_auc double")

@@ -86,7 +86,7 @@ def feature_selection_consensus(df: DataFrame, target: str, cols: Sequence[str],
 
 def classifier_study(df: DataFrame, label: str, numeric: Sequence[str], categorical: str, ts: str,
                      key: Sequence[str], min_count: int = 100, fit_on: str = "train",
-                     n_trials: int = 3) -> DataFrame:
+                     n_trials: int = 10) -> DataFrame:
     """Impute -> time split -> hybrid encoding -> scaling -> tuned forest ->
     evaluation on the test part (report, precision@20 %, average precision).
 
