@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ordertide.catalog import query, table
 from ordertide.catalog._common import SQL_CHANGE_LOG, change_log
 from ordertide.operators.relational import rolling_month_sum
-from ordertide.operators.windows import trailing_stats
+from ordertide.operators import halo
 from ordertide.plans.availability import availability_features, stock_zscore
 
 
@@ -42,9 +42,9 @@ FROM b
 WINDOW w AS (PARTITION BY item_id ORDER BY {_EPOCH} RANGE BETWEEN 2419200 PRECEDING AND CURRENT ROW)
 """)
 def trailing_28d_stats(spark, sf):
-    """RANGE frame of 28 days in epoch seconds (AVG, sample VARIANCE, SUM)."""
+    """RANGE frame of 28 days in epoch seconds (AVG, sample VARIANCE, SUM), split by item and day."""
     b = change_log(spark, sf)
-    s = trailing_stats(b, ["item_id"], "modify_date_time", {
+    s = halo.trailing_stats(b, ["item_id"], "modify_date_time", {
         "average_stock_4_weeks": ("avg", "availability_qty"),
         "stock_variance_4_weeks": ("var_samp", "availability_qty"),
         "sum_stock_4_weeks": ("sum", "availability_qty"),
@@ -53,15 +53,11 @@ def trailing_28d_stats(spark, sf):
 
 
 _SQL_DAILY = _CL + """,
-d AS (SELECT item_id, CAST(modify_date_time AS DATE) AS modify_date,
-             min(availability_qty) AS min_availability_qty
-      FROM b GROUP BY item_id, CAST(modify_date_time AS DATE)),
-d2 AS (SELECT *, lag(min_availability_qty) OVER (PARTITION BY item_id ORDER BY modify_date) AS lag_availability_qty,
-              lag(modify_date) OVER (PARTITION BY item_id ORDER BY modify_date) AS lag_modify_date FROM d),
-d4 AS (SELECT *, date_diff('day', lag_modify_date, modify_date) AS date_difference,
-              min_availability_qty - lag_availability_qty AS availability_difference,
-              (min_availability_qty - lag_availability_qty) / date_diff('day', lag_modify_date, modify_date)
-                AS current_daily_stock_change_rate FROM d2)
+low AS (SELECT item_id, CAST(modify_date_time AS DATE) AS modify_date, min(availability_qty) AS lowest FROM b GROUP BY ALL),
+step AS (SELECT x.item_id, x.modify_date, x.lowest, max(y.modify_date) AS day_before, arg_max(y.lowest, y.modify_date) AS low_before,
+                date_diff('day', max(y.modify_date), x.modify_date) AS days, x.lowest - arg_max(y.lowest, y.modify_date) AS change
+         FROM low x LEFT JOIN low y ON y.item_id = x.item_id AND y.modify_date < x.modify_date
+         GROUP BY x.item_id, x.modify_date, x.lowest)
 """
 
 
@@ -83,35 +79,26 @@ def _daily(spark, sf):
 
 
 @query("daily_change_rate", oracle=_SQL_DAILY + """
-SELECT item_id, modify_date, min_availability_qty, lag_availability_qty, lag_modify_date,
-       date_difference, availability_difference,
-       round(current_daily_stock_change_rate, 6) AS current_daily_stock_change_rate
-FROM d4
+SELECT item_id, modify_date, lowest AS min_availability_qty, low_before AS lag_availability_qty, day_before AS lag_modify_date,
+       days AS date_difference, change AS availability_difference, round(change / days, 6) AS current_daily_stock_change_rate
+FROM step
 """)
 def daily_change_rate(spark, sf):
     """E6 + D1: daily minimum, LAG of value and date, change per day."""
     return _round(_daily(spark, sf), ["current_daily_stock_change_rate"])
 
 
-@query("trailing_28d_rate", oracle=_SQL_DAILY + """,
-r AS (SELECT item_id, modify_date,
-             avg(current_daily_stock_change_rate) OVER (PARTITION BY item_id ORDER BY modify_date
-                 RANGE BETWEEN INTERVAL 28 DAY PRECEDING AND CURRENT ROW) AS avg_rate_all
-      FROM d4),
-n AS (SELECT item_id, modify_date,
-             avg(current_daily_stock_change_rate) OVER (PARTITION BY item_id ORDER BY modify_date
-                 RANGE BETWEEN INTERVAL 28 DAY PRECEDING AND CURRENT ROW) AS avg_rate_nonpos
-      FROM d4 WHERE current_daily_stock_change_rate <= 0)
-SELECT d4.item_id, d4.modify_date,
-       round(d4.current_daily_stock_change_rate, 6) AS current_daily_stock_change_rate,
-       round(r.avg_rate_all, 6) AS average_daily_stock_change_rate_replenishment,
-       round(n.avg_rate_nonpos, 6) AS average_daily_stock_change_rate
-FROM d4 LEFT JOIN r ON r.item_id = d4.item_id AND r.modify_date = d4.modify_date
-LEFT JOIN n ON n.item_id = d4.item_id AND n.modify_date = d4.modify_date
+@query("trailing_28d_rate", oracle=_SQL_DAILY + """
+SELECT x.item_id, x.modify_date, round(x.change / x.days, 6) AS current_daily_stock_change_rate,
+       round(avg(y.change / y.days), 6) AS average_daily_stock_change_rate_replenishment,
+       CASE WHEN x.change <= 0 THEN round(avg(y.change / y.days) FILTER (y.change <= 0), 6) END AS average_daily_stock_change_rate
+FROM step x JOIN step y ON y.item_id = x.item_id AND y.modify_date BETWEEN x.modify_date - 28 AND x.modify_date
+GROUP BY x.item_id, x.modify_date, x.change, x.days
 """)
 def trailing_28d_rate(spark, sf):
     """E10 + E11: 28-day RANGE over DATE; the filtered-subset average is a
     conditional average over the same frame (no filter + join back)."""
+    # by day, an item has one row a day: its window is bounded by the length of the history
     from pyspark.sql import Window
     d = _daily(spark, sf)
     w = Window.partitionBy("item_id").orderBy(F.unix_date("modify_date")).rangeBetween(-28, 0)
@@ -129,73 +116,48 @@ _K1_COLS = ["average_stock_4_weeks", "stock_variance_4_weeks", "current_daily_st
             "average_daily_stock_change_rate_replenishment", "average_daily_stock_change_rate"]
 
 
-@query("availability_features", oracle=_SQL_DAILY + f""",
-base AS (SELECT DISTINCT item_id, modify_date_time, availability_qty FROM b),
-tab1 AS (SELECT *, avg(availability_qty) OVER w AS average_stock_4_weeks,
-                var_samp(availability_qty) OVER w AS stock_variance_4_weeks
-         FROM base
-         WINDOW w AS (PARTITION BY item_id ORDER BY {_EPOCH} RANGE BETWEEN 2419200 PRECEDING AND CURRENT ROW)),
-rep AS (SELECT item_id, modify_date, avg(current_daily_stock_change_rate) OVER (PARTITION BY item_id
-          ORDER BY modify_date RANGE BETWEEN INTERVAL 28 DAY PRECEDING AND CURRENT ROW) AS avg_rep FROM d4),
-norep AS (SELECT item_id, modify_date, avg(current_daily_stock_change_rate) OVER (PARTITION BY item_id
-          ORDER BY modify_date RANGE BETWEEN INTERVAL 28 DAY PRECEDING AND CURRENT ROW) AS avg_norep
-          FROM d4 WHERE current_daily_stock_change_rate <= 0),
-both_rates AS (SELECT d4.*, rep.avg_rep, norep.avg_norep FROM d4
-          LEFT JOIN rep ON rep.item_id = d4.item_id AND rep.modify_date = d4.modify_date
-          LEFT JOIN norep ON norep.item_id = d4.item_id AND norep.modify_date = d4.modify_date),
-tab2 AS (SELECT t.*, CAST(t.modify_date_time AS DATE) AS modify_date,
-                br.current_daily_stock_change_rate,
-                br.avg_rep AS average_daily_stock_change_rate_replenishment,
-                br.avg_norep AS average_daily_stock_change_rate
-         FROM tab1 t LEFT JOIN both_rates br
-           ON br.item_id = t.item_id AND br.modify_date = CAST(t.modify_date_time AS DATE)),
-lg AS (SELECT *, lag(availability_qty) OVER (PARTITION BY item_id ORDER BY modify_date_time, availability_qty) AS lag_q
-       FROM base),
-flags AS (SELECT *, CASE WHEN availability_qty = 0 AND lag_q > 0 THEN 1 ELSE 0 END AS stockout_dummy,
-                 CASE WHEN availability_qty > lag_q THEN 1 ELSE 0 END AS replenishment_dummy FROM lg),
-cnt AS (SELECT *, CAST(sum(stockout_dummy) OVER w AS BIGINT) AS stockout_count_28_days,
-               CAST(sum(replenishment_dummy) OVER w AS BIGINT) AS replenishment_count_28_days
-        FROM flags
-        WINDOW w AS (PARTITION BY item_id ORDER BY {_EPOCH} RANGE BETWEEN 2419200 PRECEDING AND CURRENT ROW)),
-so AS (SELECT item_id, modify_date_time AS s_from,
-              coalesce(lead(modify_date_time) OVER (PARTITION BY item_id ORDER BY modify_date_time),
-                       TIMESTAMP '2100-01-01') AS s_to FROM cnt WHERE stockout_dummy = 1),
-ro AS (SELECT item_id, modify_date_time AS r_from,
-              coalesce(lead(modify_date_time) OVER (PARTITION BY item_id ORDER BY modify_date_time),
-                       TIMESTAMP '2100-01-01') AS r_to FROM cnt WHERE replenishment_dummy = 1),
-ev AS (SELECT c.*, date_diff('day', CAST(so.s_from AS DATE), CAST(c.modify_date_time AS DATE)) AS days_since_last_stockout,
-              date_diff('day', CAST(ro.r_from AS DATE), CAST(c.modify_date_time AS DATE)) AS days_since_last_replenishment
-       FROM cnt c
-       LEFT JOIN so ON so.item_id = c.item_id AND c.modify_date_time >= so.s_from AND c.modify_date_time < so.s_to
-       LEFT JOIN ro ON ro.item_id = c.item_id AND c.modify_date_time >= ro.r_from AND c.modify_date_time < ro.r_to),
-tab3 AS (SELECT t.*, ev.stockout_dummy, ev.replenishment_dummy, ev.stockout_count_28_days,
-                ev.replenishment_count_28_days, ev.days_since_last_stockout, ev.days_since_last_replenishment
-         FROM tab2 t LEFT JOIN ev ON ev.item_id = t.item_id AND ev.modify_date_time = t.modify_date_time
-                                 AND ev.availability_qty = t.availability_qty),
-fin AS (SELECT *, CASE
-          WHEN availability_qty = 0 THEN 0
-          WHEN abs(average_daily_stock_change_rate) = 0 AND abs(current_daily_stock_change_rate) != 0
-            THEN floor(availability_qty / abs(current_daily_stock_change_rate))
-          WHEN abs(average_daily_stock_change_rate) != 0
-            THEN floor(availability_qty / abs(average_daily_stock_change_rate))
-          WHEN average_daily_stock_change_rate IS NULL AND average_daily_stock_change_rate_replenishment != 0
-            THEN floor(availability_qty / abs(average_daily_stock_change_rate_replenishment))
-          ELSE NULL END AS estimated_days_till_next_stockout
-        FROM tab3
-        QUALIFY row_number() OVER (PARTITION BY item_id, modify_date_time ORDER BY availability_qty ASC) = 1)
-SELECT item_id, modify_date_time, availability_qty, modify_date,
-       round(average_stock_4_weeks, 6) AS average_stock_4_weeks,
-       round(stock_variance_4_weeks, 6) AS stock_variance_4_weeks,
-       round(current_daily_stock_change_rate, 6) AS current_daily_stock_change_rate,
-       round(average_daily_stock_change_rate_replenishment, 6) AS average_daily_stock_change_rate_replenishment,
-       round(average_daily_stock_change_rate, 6) AS average_daily_stock_change_rate,
-       stockout_dummy, replenishment_dummy, stockout_count_28_days, replenishment_count_28_days,
-       days_since_last_stockout, days_since_last_replenishment,
-       CAST(estimated_days_till_next_stockout AS DOUBLE) AS estimated_days_till_next_stockout
-FROM fin
+# Written from the meaning of each feature: every row looks up its own frame, day or
+# latest event by a correlated subquery or a self-join.
+_SQL_K1 = _CL + """,
+r AS (SELECT DISTINCT item_id, modify_date_time AS t, availability_qty AS q, CAST(modify_date_time AS DATE) AS day,
+             CAST(floor(epoch(modify_date_time)) AS BIGINT) AS s FROM b),
+prev AS (SELECT x.item_id, x.t, x.q, max(ROW(y.t, y.q)) AS before
+         FROM r x LEFT JOIN r y ON y.item_id = x.item_id AND (y.t, y.q) < (x.t, x.q) GROUP BY x.item_id, x.t, x.q),
+e AS (SELECT r.*, r.q = 0 AND coalesce(p.before[2] > 0, FALSE) AS out_of_stock, coalesce(r.q > p.before[2], FALSE) AS filled
+      FROM r JOIN prev p USING (item_id, t, q)),
+low AS (SELECT item_id, day, min(q) AS lowest FROM r GROUP BY item_id, day),
+speed AS (SELECT x.item_id, x.day, (x.lowest - arg_max(y.lowest, y.day)) / date_diff('day', max(y.day), x.day) AS rate
+          FROM low x LEFT JOIN low y ON y.item_id = x.item_id AND y.day < x.day GROUP BY x.item_id, x.day, x.lowest),
+pace AS (SELECT x.item_id, x.day, x.rate, avg(y.rate ORDER BY y.day) AS mean_all,
+                CASE WHEN x.rate <= 0 THEN avg(y.rate ORDER BY y.day) FILTER (y.rate <= 0) END AS mean_falling
+         FROM speed x JOIN speed y ON y.item_id = x.item_id AND y.day BETWEEN x.day - 28 AND x.day GROUP BY x.item_id, x.day, x.rate),
+frame AS (SELECT x.item_id, x.t, x.q, avg(y.q) AS mean_q, var_samp(y.q) AS var_q,
+                 count(*) FILTER (y.out_of_stock) AS n_out, count(*) FILTER (y.filled) AS n_filled
+          FROM e x JOIN e y ON y.item_id = x.item_id AND y.s BETWEEN x.s - 28 * 86400 AND x.s GROUP BY x.item_id, x.t, x.q),
+since AS (SELECT x.item_id, x.t, x.q, date_diff('day', max(y.day) FILTER (y.out_of_stock), x.day) AS d_out,
+                 date_diff('day', max(y.day) FILTER (y.filled), x.day) AS d_filled
+          FROM e x JOIN e y ON y.item_id = x.item_id AND y.t <= x.t GROUP BY x.item_id, x.t, x.q, x.day)
+"""
+
+
+@query("availability_features", oracle=_SQL_K1 + """
+SELECT e.item_id, e.t AS modify_date_time, e.q AS availability_qty, e.day AS modify_date,
+       round(f.mean_q, 6) AS average_stock_4_weeks, round(f.var_q, 6) AS stock_variance_4_weeks,
+       round(p.rate, 6) AS current_daily_stock_change_rate,
+       round(p.mean_all, 6) AS average_daily_stock_change_rate_replenishment,
+       round(p.mean_falling, 6) AS average_daily_stock_change_rate,
+       CAST(e.out_of_stock AS INT) AS stockout_dummy, CAST(e.filled AS INT) AS replenishment_dummy,
+       f.n_out AS stockout_count_28_days, f.n_filled AS replenishment_count_28_days,
+       s.d_out AS days_since_last_stockout, s.d_filled AS days_since_last_replenishment,
+       CAST(if(e.q = 0, 0, floor(e.q / abs(CASE WHEN p.mean_falling <> 0 THEN p.mean_falling
+                                                WHEN p.mean_falling = 0 AND p.rate <> 0 THEN p.rate
+                                                WHEN p.mean_falling IS NULL AND p.mean_all <> 0 THEN p.mean_all END))) AS DOUBLE)
+         AS estimated_days_till_next_stockout
+FROM e JOIN frame f USING (item_id, t, q) JOIN since s USING (item_id, t, q) JOIN pace p USING (item_id, day)
+WHERE NOT EXISTS (FROM e z WHERE z.item_id = e.item_id AND z.t = e.t AND z.q < e.q)
 """)
 def availability_features_q(spark, sf):
-    """K1: all availability features on one frame, one exchange per item key."""
+    """K1: all availability features on one frame, split by item and day."""
     f = availability_features(change_log(spark, sf), ["item_id"])
     f = f.withColumns({"days_since_last_stockout": F.col("days_since_last_stockout").cast("bigint"),
                        "days_since_last_replenishment": F.col("days_since_last_replenishment").cast("bigint"),
@@ -229,39 +191,28 @@ u AS (SELECT rg.r_name AS country_code, n.n_name AS business_unit, b.item_id, b.
 """
 
 
+# Written from the meaning: the last quantity of each day, numbered per item; the score
+# of a day against its up to 30 predecessors by a self-join on these numbers.
 @query("prior_30_rows_zscore", oracle=_SQL_UNIT_LOG + """,
-ds AS (SELECT country_code, business_unit, item_id, CAST(modify_date_time AS DATE) AS snapshot_date,
-              arg_max(availability_qty, modify_date_time) AS current_availability
-       FROM u GROUP BY country_code, business_unit, item_id, CAST(modify_date_time AS DATE)),
-rs AS (SELECT *, avg(current_availability) OVER w AS avg_30d_availability,
-              stddev_samp(current_availability) OVER w AS stddev_30d_availability,
-              count(*) OVER w AS n_days_in_window
-       FROM ds WINDOW w AS (PARTITION BY country_code, business_unit, item_id ORDER BY snapshot_date
-                            ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)),
-z AS (SELECT *, CASE WHEN stddev_30d_availability > 0 AND n_days_in_window >= 20
-                THEN (current_availability - avg_30d_availability) / stddev_30d_availability END AS zo FROM rs),
-ib AS (SELECT country_code, business_unit, item_id, quantile_disc(zo, 0.5) AS median_item_z_score,
-              count(*) FILTER (WHERE stddev_30d_availability > 0 AND n_days_in_window >= 20) AS n_valid_z_scores
-       FROM z GROUP BY country_code, business_unit, item_id),
-bu AS (SELECT country_code, business_unit, quantile_disc(zo, 0.5) AS median_bu_z_score
-       FROM z GROUP BY country_code, business_unit),
-f AS (SELECT z.*, coalesce(zo, CASE WHEN ib.n_valid_z_scores >= 5 THEN ib.median_item_z_score END,
-                           bu.median_bu_z_score, 0) AS zi,
-             CASE WHEN zo IS NOT NULL THEN 'OBSERVED' WHEN ib.n_valid_z_scores >= 5 THEN 'IMPUTED_ITEM_MEDIAN'
-                  WHEN bu.median_bu_z_score IS NOT NULL THEN 'IMPUTED_BU_MEDIAN' ELSE 'IMPUTED_NEUTRAL' END
-               AS imputation_method
-      FROM z LEFT JOIN ib ON ib.country_code IS NOT DISTINCT FROM z.country_code
-                         AND ib.business_unit IS NOT DISTINCT FROM z.business_unit AND ib.item_id = z.item_id
-             LEFT JOIN bu ON bu.country_code = z.country_code AND bu.business_unit = z.business_unit)
-SELECT country_code, business_unit, item_id, snapshot_date, current_availability,
-       round(avg_30d_availability, 6) AS avg_30d_availability,
-       round(stddev_30d_availability, 6) AS stddev_30d_availability, n_days_in_window,
-       round(zo, 6) AS stock_z_score_original, round(zi, 6) AS stock_z_score_imputed, imputation_method,
-       CASE WHEN zo IS NOT NULL THEN 0 ELSE 1 END AS stock_z_score_imputed_flag,
-       CASE WHEN zi < 0 THEN 1 ELSE 0 END AS below_avg_imputed,
-       CASE WHEN zi < -1 THEN 1 ELSE 0 END AS stock_1sd_below_imputed,
-       CASE WHEN current_availability < avg_30d_availability THEN 1 ELSE 0 END AS below_30d_avg_original
-FROM f
+day AS (SELECT country_code AS c, business_unit AS u, item_id AS i, CAST(modify_date_time AS DATE) AS d,
+               arg_max(availability_qty, modify_date_time) AS stock FROM u GROUP BY ALL),
+num AS (SELECT *, row_number() OVER (PARTITION BY c, u, i ORDER BY d) AS k FROM day),
+ref AS (SELECT x.c, x.u, x.i, x.d, x.stock, avg(y.stock) AS mean, stddev_samp(y.stock) AS dev, count(y.stock) AS n
+        FROM num x LEFT JOIN num y ON y.i = x.i AND y.c IS NOT DISTINCT FROM x.c AND y.u IS NOT DISTINCT FROM x.u
+         AND y.k BETWEEN x.k - 30 AND x.k - 1 GROUP BY x.c, x.u, x.i, x.d, x.stock),
+own AS (SELECT *, if(dev > 0 AND n >= 20, (stock - mean) / dev, NULL) AS z FROM ref),
+mid AS (SELECT *, (SELECT quantile_disc(o.z, 0.5) FROM own o WHERE o.i = own.i AND o.c IS NOT DISTINCT FROM own.c
+                    AND o.u IS NOT DISTINCT FROM own.u HAVING count(o.z) >= 5) AS of_item,
+                  (SELECT quantile_disc(o.z, 0.5) FROM own o WHERE o.c = own.c AND o.u = own.u) AS of_unit FROM own),
+fin AS (SELECT *, coalesce(z, of_item, of_unit, 0) AS zi FROM mid)
+SELECT c AS country_code, u AS business_unit, i AS item_id, d AS snapshot_date, stock AS current_availability,
+       round(mean, 6) AS avg_30d_availability, round(dev, 6) AS stddev_30d_availability, n AS n_days_in_window,
+       round(z, 6) AS stock_z_score_original, round(zi, 6) AS stock_z_score_imputed,
+       if(z IS NOT NULL, 'OBSERVED', if(of_item IS NOT NULL, 'IMPUTED_ITEM_MEDIAN',
+          if(of_unit IS NOT NULL, 'IMPUTED_BU_MEDIAN', 'IMPUTED_NEUTRAL'))) AS imputation_method,
+       CAST(z IS NULL AS INT) AS stock_z_score_imputed_flag, CAST(zi < 0 AS INT) AS below_avg_imputed,
+       CAST(zi < -1 AS INT) AS stock_1sd_below_imputed, CAST(coalesce(stock < mean, FALSE) AS INT) AS below_30d_avg_original
+FROM fin
 """)
 def prior_30_rows_zscore(spark, sf):
     """K2 (E12, D7, B17, B28): prior-30-row z-score with item / unit median imputation."""

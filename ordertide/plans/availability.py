@@ -2,9 +2,8 @@
 
 K1 in the warehouse version derives six frames from the change log and joins
 them back on (keys, time) and (keys, day).  Here every feature is a window
-over one frame partitioned by the item key: one shuffle, no self-joins, and
-the per-day quantities are read from the first row of each day so that day
-averages are not weighted by the number of changes in a day.
+over one frame split by item and day, with halo and carry rows instead of
+self-joins, so that an item with very many changes spreads over many tasks.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordertide.functions.scalars import epoch_seconds
+from ordertide.operators import halo
 from ordertide.operators.relational import any_per_key
 from ordertide.fixed import Z_ITEM_MEDIAN, Z_NEUTRAL, Z_OBSERVED, Z_UNIT_MEDIAN
 
@@ -29,71 +29,61 @@ def availability_features(log: DataFrame, keys: Sequence[str], ts: str = "modify
     estimated days until the next stockout.  Output keeps the smallest
     quantity per (keys, ts).
 
-    Plan: one exchange (hash on the item key, reused by the dedup and every
-    window) and two sorts.  All row- and day-level windows share one order,
-    (day, epoch second, ts, qty): day aggregates are RANGE frames on the day
-    number, so they need no separate (keys, day) partitioning.  Only the
-    28-day frame on epoch seconds needs a second sort.
+    Rows are split by (item, UTC day); nothing holds more of an item than a day of
+    it, the same day ``days`` before, and its table of one row per day.  That
+    table gives the daily rates and, as carry rows, what a day needs from
+    before it: the last quantity, the latest stockout and replenishment, and the
+    sums over the days in between (``operators.halo``).
     """
     keys = list(keys)
-    base = log.repartition(*keys)                 # the only shuffle: dedup and windows reuse it
-    base = any_per_key(base, [*keys, ts, qty]).withColumns({
-        "modify_date": F.to_date(ts), "__es": epoch_seconds(F.col(ts))})
-    base = base.withColumn("__day", F.unix_date("modify_date"))
+    rows = log.withColumn("__b", F.floor(epoch_seconds(F.col(ts)) / F.lit(DAY)).cast("long")).repartition(*keys, "__b")
+    rows = any_per_key(rows, [*keys, "__b", ts, qty])
     q = F.col(qty)
-    wd = Window.partitionBy(*keys).orderBy("__day", "__es", ts, qty)     # row order
-    w_before = wd.rowsBetween(Window.unboundedPreceding, -1)
-    w_upto = wd.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_same_day = Window.partitionBy(*keys).orderBy("__day").rangeBetween(0, 0)
-    w_days = Window.partitionBy(*keys).orderBy("__day").rangeBetween(-days, 0)
-    w_secs = Window.partitionBy(*keys).orderBy("__es").rangeBetween(-days * DAY, 0)
-
-    f = base.withColumns({
-        "lag_availability_qty": F.lag(qty).over(wd),
-        "__first": F.coalesce(F.lag("__day").over(wd) != F.col("__day"), F.lit(True)),
-        "__first_ts": F.coalesce(F.lag(ts).over(wd) != F.col(ts), F.lit(True)),
-        "__day_min": F.min(qty).over(w_same_day),
-    })
-    # previous day's minimum and date as seen from the first row of each day
-    f = f.withColumns({
-        "__prev_min": F.last(F.when(F.col("__first"), F.col("__day_min")), ignorenulls=True).over(w_before),
-        "__prev_day": F.last(F.when(F.col("__first"), F.col("modify_date")), ignorenulls=True).over(w_before),
-        "stockout_dummy": F.when((q == 0) & (F.col("lag_availability_qty") > 0), 1).otherwise(0),
-        "replenishment_dummy": F.when(q > F.col("lag_availability_qty"), 1).otherwise(0),
-    })
-    f = f.withColumns({
-        "__prev_min": F.first(F.when(F.col("__first"), F.col("__prev_min")), ignorenulls=True).over(w_same_day),
-        "__prev_day": F.first(F.when(F.col("__first"), F.col("__prev_day")), ignorenulls=True).over(w_same_day),
-        "__last_so": F.max(F.when(F.col("stockout_dummy") == 1, F.col(ts))).over(w_upto),
-        "__last_rep": F.max(F.when(F.col("replenishment_dummy") == 1, F.col(ts))).over(w_upto),
-    })
-    rate = F.try_divide(F.col("__day_min") - F.col("__prev_min"), F.datediff("modify_date", "__prev_day"))
-    f = f.withColumn("current_daily_stock_change_rate", rate)
-    day_rate = F.when(F.col("__first"), F.col("current_daily_stock_change_rate"))
+
+    by_day = Window.partitionBy(*keys).orderBy("__b")
+    table = rows.groupBy(*keys, "__b").agg(F.min(qty).alias("__min"))
+    rate = F.try_divide(F.col("__min") - F.lag("__min").over(by_day), F.col("__b") - F.lag("__b").over(by_day))
+    table = table.withColumn("current_daily_stock_change_rate", rate)
+    rate, month = F.col("current_daily_stock_change_rate"), by_day.rangeBetween(-days, 0)
+    table = table.select(*keys, "__b", rate, F.avg(rate).over(month).alias("average_daily_stock_change_rate_replenishment"),
+                         # average over the non-positive days only, reported on those days
+                         F.when(rate <= 0, F.avg(F.when(rate <= 0, rate)).over(month)).alias("average_daily_stock_change_rate"))
+    f = halo.previous_and_latest(rows, keys, F.col("__b"), [ts, qty], {"__lag": qty, "__lag_ts": ts}, carried=table)
+
     f = f.withColumns({
-        "average_daily_stock_change_rate_replenishment": F.avg(day_rate).over(w_days),
-        # average over the non-positive days only, reported on those days
-        "average_daily_stock_change_rate": F.when(
-            F.col("current_daily_stock_change_rate") <= 0,
-            F.avg(F.when(F.col("current_daily_stock_change_rate") <= 0, day_rate)).over(w_days)),
-        "days_since_last_stockout": F.datediff("modify_date", F.to_date("__last_so")),
-        "days_since_last_replenishment": F.datediff("modify_date", F.to_date("__last_rep")),
+        "stockout_dummy": F.when((q == 0) & (F.col("__lag") > 0), 1).otherwise(0),
+        "replenishment_dummy": F.when(q > F.col("__lag"), 1).otherwise(0),
+    }).withColumns({
+        "__o": F.pmod(epoch_seconds(F.col(ts)), F.lit(DAY)).cast("long"), "__one": F.when(q.isNotNull(), F.lit(1).cast("long")),
+        "__square": q * q, "__so": F.when(F.col("stockout_dummy") == 1, F.col(ts)),
+        "__rep": F.when(F.col("replenishment_dummy") == 1, F.col(ts)),
     })
-    # the second (and last) sort: 28-day frames on epoch seconds
+    f = halo.moving_sums(f, keys, "__b", "__o", [qty, "__one", "__square", "stockout_dummy", "replenishment_dummy"], days,
+                         latest=["__so", "__rep"], keep=[c for c in f.columns if c not in ("__so", "__rep", "__one", "__square")], time=ts)
+    n, total = F.col("sum___one"), F.col(f"sum_{qty}")
+    date = F.date_from_unix_date(F.col("__b").cast("int"))
     f = f.withColumns({
-        "average_stock_4_weeks": F.avg(qty).over(w_secs),
-        "stock_variance_4_weeks": F.var_samp(qty).over(w_secs),
-        "stockout_count_28_days": F.sum("stockout_dummy").over(w_secs),
-        "replenishment_count_28_days": F.sum("replenishment_dummy").over(w_secs),
+        "modify_date": date,
+        "stockout_dummy": F.col("stockout_dummy").cast("int"), "replenishment_dummy": F.col("replenishment_dummy").cast("int"),
+        "average_stock_4_weeks": F.when(n > 0, total / n),
+        "stock_variance_4_weeks": F.when(n > 1, F.greatest(F.col("sum___square") - total * total / n, F.lit(0.0)) / (n - 1)),
+        "stockout_count_28_days": F.col("sum_stockout_dummy"),
+        "replenishment_count_28_days": F.col("sum_replenishment_dummy"),
+        "days_since_last_stockout": _days_since(date, F.col("latest___so")),
+        "days_since_last_replenishment": _days_since(date, F.col("latest___rep")),
+        "estimated_days_till_next_stockout": estimated_days_to_stockout(
+            q, F.col("current_daily_stock_change_rate"), F.col("average_daily_stock_change_rate"),
+            F.col("average_daily_stock_change_rate_replenishment")),
     })
-    f = f.withColumn("estimated_days_till_next_stockout", estimated_days_to_stockout(
-        q, F.col("current_daily_stock_change_rate"), F.col("average_daily_stock_change_rate"),
-        F.col("average_daily_stock_change_rate_replenishment")))
     if start is not None:
         f = f.filter(F.col(ts) >= F.lit(start).cast(log.schema[ts].dataType))
     # smallest quantity per (keys, ts): the first row of each timestamp in row order
-    return f.filter("__first_ts").drop("__day_min", "__first", "__first_ts", "__prev_min", "__prev_day",
-                                       "__last_so", "__last_rep", "lag_availability_qty", "__es", "__day")
+    f = f.filter(F.col("__lag_ts").isNull() | (F.col("__lag_ts") != F.col(ts)))
+    return f.drop(*[c for c in f.columns if c.startswith(("__", "sum_", "latest_"))])
+
+
+def _days_since(date: Column, ts: Column) -> Column:
+    return F.datediff(date, F.date_from_unix_date(F.floor(epoch_seconds(ts) / F.lit(DAY)).cast("int")))
 
 
 def estimated_days_to_stockout(qty: Column, current: Column, avg_nonpos: Column,
@@ -113,30 +103,27 @@ def stock_zscore(log: DataFrame, unit_keys: Sequence[str], item: str, ts: str =
     imputed by the item median (>= ``min_valid`` scores), then the unit median,
     then 0, with the provenance label and below-average flags.
 
-    Item medians are a window over the (unit, item) partition the z-score
-    window already uses; unit medians come from a partial-aggregating
-    ``percentile_approx`` (mergeable sketches) joined back on the unit."""
+    The 30 prior rows come from blocks of an item's days with a halo
+    (``halo.prior_rows_stats``).  Item and unit medians come from
+    partial-aggregating ``percentile_approx`` (mergeable sketches), joined back;
+    by then an item has at most one row a day."""
     keys = [*unit_keys, item]
     daily = (log.groupBy(*keys, F.to_date(ts).alias("snapshot_date"))
              .agg(F.max(ts).alias("last_update_time"),
                   F.max_by(qty, ts).alias("current_availability")))
-    w = Window.partitionBy(*keys).orderBy("snapshot_date").rowsBetween(-n_prior, -1)
-    s = daily.withColumns({
-        "avg_30d_availability": F.avg("current_availability").over(w),
-        "stddev_30d_availability": F.stddev_samp("current_availability").over(w),
-        "n_days_in_window": F.count(F.lit(1)).over(w),
-    })
+    s = halo.prior_rows_stats(daily, keys, "snapshot_date", "current_availability",
+                              F.floor(F.unix_date("snapshot_date") / 64), n_prior, prefix="__")
+    s = s.withColumnsRenamed({"__avg": "avg_30d_availability", "__stddev": "stddev_30d_availability", "__n": "n_days_in_window"})
     valid = (F.col("stddev_30d_availability") > 0) & (F.col("n_days_in_window") >= min_days)
     z = F.when(valid, (F.col("current_availability") - F.col("avg_30d_availability"))
                / F.col("stddev_30d_availability"))
     s = s.withColumn("stock_z_score_original", z)
-    wi = Window.partitionBy(*keys)
-    s = s.withColumns({
-        "median_item_z_score": F.percentile_approx("stock_z_score_original", 0.5).over(wi),
-        "n_valid_z_scores": F.count_if(valid).over(wi),
-    })
+    # one pass to the medians of the items and, from the scores again, of the units
+    item = s.groupBy(*keys).agg(F.percentile_approx("stock_z_score_original", 0.5).alias("median_item_z_score"),
+                                F.count_if(valid).alias("n_valid_z_scores"))
     unit = (s.groupBy(*unit_keys)
             .agg(F.percentile_approx("stock_z_score_original", 0.5).alias("median_bu_z_score")))
+    s = _null_safe_left_join(s, item, keys)
     s = s.join(unit, list(unit_keys), "left")
     item_ok = F.col("n_valid_z_scores") >= min_valid
     imputed = F.coalesce(F.col("stock_z_score_original"),
@@ -156,3 +143,10 @@ def stock_zscore(log: DataFrame, unit_keys: Sequence[str], item: str, ts: str =
         "below_30d_avg_original": F.when(
             F.col("current_availability") < F.col("avg_30d_availability"), 1).otherwise(0),
     }).drop("median_item_z_score", "n_valid_z_scores", "median_bu_z_score", "last_update_time")
+
+
+def _null_safe_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join in which null keys are equal, as in a grouping."""
+    r = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys]
+    return left.join(r, on, "left").drop(*[f"__r_{k}" for k in keys])
