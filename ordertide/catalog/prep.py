@@ -32,7 +32,7 @@ s AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey,
 
 
 @query("impute_median_mode", oracle="WITH " + _SQL_LINES_NULLS + """,
-med AS (SELECT quantile_disc(l_quantity, 0.5) AS m FROM s),
+med AS (SELECT quantile_cont(l_quantity, 0.5) AS m FROM s),
 mode_f AS (SELECT l_returnflag AS m FROM s WHERE l_returnflag IS NOT NULL GROUP BY l_returnflag
            ORDER BY count(*) DESC, l_returnflag ASC LIMIT 1)
 SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey,
@@ -48,6 +48,18 @@ def impute_median_mode(spark, sf):
     return X.fill(s, values)
 
 
+@query("group_median_fill", oracle="WITH " + _SQL_LINES_NULLS + """
+SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey,
+       round(coalesce(l_quantity, quantile_cont(l_quantity, 0.5) OVER (PARTITION BY l_suppkey, l_returnflag)), 4) AS l_quantity,
+       l_returnflag, l_linestatus
+FROM s
+""")
+def group_median_fill(spark, sf):
+    """Missing quantities filled by the median of the ship node and return flag (null flags are a group)."""
+    out = X.group_median_fill(_lines_with_nulls(spark, sf), "l_quantity", ["l_suppkey", "l_returnflag"])
+    return out.withColumn("l_quantity", F.round("l_quantity", 4))
+
+
 @query("impute_max_plus_one", oracle=None)
 def impute_max_plus_one(spark, sf):
     """Days since the last stockout, 'never' filled with max + 1."""
@@ -138,7 +150,7 @@ def hybrid_encode(spark, sf):
 
 @query("node_tier", oracle="""
 WITH c AS (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY l_suppkey),
-q AS (SELECT quantile_disc(n, 0.25) AS q25, quantile_disc(n, 0.75) AS q75 FROM c)
+q AS (SELECT quantile_cont(n, 0.25) AS q25, quantile_cont(n, 0.75) AS q75 FROM c)
 SELECT l_suppkey, n, CASE WHEN n >= q75 THEN 'LARGE' WHEN n >= q25 THEN 'MEDIUM' ELSE 'SMALL' END AS tier
 FROM c, q
 """)

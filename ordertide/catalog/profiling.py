@@ -63,10 +63,10 @@ _PROBS = [(0.01, "p01"), (0.05, "p05"), (0.5, "p50"), (0.95, "p95"), (0.99, "p99
 @query("describe_percentiles", oracle="\nUNION ALL ".join(
     f"SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}), 4) AS mean, "
     f"round(stddev_samp({c}), 4) AS std, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, "
-    + ", ".join(f"round(CAST(quantile_disc({c}, {p}) AS DOUBLE), 4) AS {n}" for p, n in _PROBS)
+    + ", ".join(f"round(CAST(quantile_cont({c}, {p}) AS DOUBLE), 4) AS {n}" for p, n in _PROBS)
     + " FROM customer" for c in _DESC_COLS))
 def describe_percentiles(spark, sf):
-    """D25 with sketch percentiles (values taken from the data)."""
+    """D25 with exact interpolated percentiles."""
     return P.describe(table(spark, sf, "customer"), _DESC_COLS, [p for p, _ in _PROBS])
 
 
@@ -98,9 +98,9 @@ def cardinality(spark, sf):
 
 @query("group_size_quartiles", oracle="""
 WITH c AS (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY l_suppkey)
-SELECT quantile_disc(n, 0.25) AS q25, quantile_disc(n, 0.75) AS q75 FROM c
+SELECT quantile_cont(n, 0.25) AS q25, quantile_cont(n, 0.75) AS q75 FROM c
 """)
 def group_size_quartiles(spark, sf):
-    """Quartiles of the number of lines per ship node."""
+    """Interpolated quartiles of the number of lines per ship node."""
     c = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
     return P.group_size_quartiles(c)

@@ -17,7 +17,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordertide.operators.profile import QUANTILE_ACCURACY
+from ordertide.operators.quantiles import exact_quantiles, quantile_rows
 
 MAX_LEVELS = 10_000
 
@@ -27,11 +27,8 @@ MAX_LEVELS = 10_000
 # ---------------------------------------------------------------------------
 
 def fit_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
-    """Median of each column (sketch quantile, one pass)."""
-    if not cols:
-        return {}
-    r = df.agg(*[F.percentile_approx(c, 0.5, QUANTILE_ACCURACY).alias(c) for c in cols]).first()
-    return {c: r[c] for c in cols}
+    """Interpolated median of each column (None without values)."""
+    return {c: q[0] for c, q in quantile_rows(df, cols, [0.5]).items()}
 
 
 def fit_modes(df: DataFrame, cols: Sequence[str]) -> dict[str, object]:
@@ -61,10 +58,13 @@ def fill(df: DataFrame, values: dict[str, object]) -> DataFrame:
 
 
 def group_median_fill(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
-    """Fill NULLs with the median of the row's group (window sketch)."""
-    w = Window.partitionBy(*by)
-    return df.withColumn(col, F.coalesce(F.col(col),
-                                         F.percentile_approx(col, 0.5, QUANTILE_ACCURACY).over(w)))
+    """Fill NULLs with the interpolated median of the row's group; a group without
+    values stays NULL.  Medians are one row per group, joined to the rows that need one."""
+    by = list(by)
+    med = exact_quantiles(df, [col], [0.5], by).select(*[F.col(k).alias(f"__{k}") for k in by], F.col("value").alias("__median"))
+    on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in by]
+    gaps = df.filter(F.col(col).isNull()).join(med, on, "left").withColumn(col, F.col("__median")).select(*df.columns)
+    return df.filter(F.col(col).isNotNull()).withColumn(col, F.col(col).cast("double")).unionByName(gaps)
 
 
 # ---------------------------------------------------------------------------
@@ -189,10 +189,10 @@ class HybridEncoderModel(Model):
 def frequency_tiers(df: DataFrame, group: str, name: str = "tier") -> DataFrame:
     """LARGE / MEDIUM / SMALL by group size at its 75th / 25th percentile.
 
-    The two thresholds are scalars from one sketch aggregate over the counts.
+    The two thresholds are scalars, interpolated between the counts next to them.
     """
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    q25, q75 = counts.agg(F.percentile_approx("n", [0.25, 0.75], QUANTILE_ACCURACY)).first()[0]
+    q25, q75 = quantile_rows(counts, ["n"], [0.25, 0.75])["n"]
     return counts.withColumn(name, F.when(F.col("n") >= q75, "LARGE")
                              .when(F.col("n") >= q25, "MEDIUM").otherwise("SMALL")).select(group, "n", name)
 

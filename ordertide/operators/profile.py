@@ -4,21 +4,23 @@ Each profile is one aggregation pass over the data that returns a small
 table (one row per column or per pair of columns).  Only those small
 results, never the data, reach the driver.
 
-Global quantiles use ``percentile_approx`` (mergeable sketches, bounded
-memory per task).  Exact ``percentile`` keeps every distinct value of the
-group in one task, which is only safe for low-cardinality columns.
+Quantiles are exact and interpolated, by distributed selection
+(``operators.quantiles``).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ordertide.operators.gram import pairwise_correlation
+from ordertide.operators.quantiles import exact_quantiles
+
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
-QUANTILE_ACCURACY = 100_000
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -67,36 +69,29 @@ def binary_prevalence(df: DataFrame, cols: Sequence[str], places: int = 4) -> Da
 
 
 def describe(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.01, 0.05, 0.5, 0.95, 0.99),
-             places: int = 4, exact: bool = False) -> DataFrame:
-    """Count, mean, sample std, min, max and percentiles per column.
+             places: int = 4) -> DataFrame:
+    """Count, mean, sample std, min, max and interpolated percentiles per column.
 
-    ``exact=False`` (default, any scale): sketch percentiles that return data
-    values.  ``exact=True``: interpolated percentiles, for bounded data only.
-    """
-    def q(c):
-        if exact:
-            return F.percentile(F.col(c), F.array(*[F.lit(p) for p in probs]))
-        return F.percentile_approx(F.col(c), list(probs), QUANTILE_ACCURACY)
+    Percentiles are exact and distributed (``quantiles.exact_quantiles``); a column
+    without values has null statistics."""
     aggs = []
     for c in cols:
         aggs += [F.count(c).alias(f"{c}__count"), F.round(F.avg(c), places).alias(f"{c}__mean"),
                  F.round(F.stddev_samp(c), places).alias(f"{c}__std"),
-                 F.min(c).cast("double").alias(f"{c}__min"), F.max(c).cast("double").alias(f"{c}__max"),
-                 q(c).alias(f"{c}__q")]
-    one = df.agg(*aggs)
-    pn = [f"p{int(round(p * 100)):02d}" for p in probs]
-    one = one.select("*", *[F.round(F.col(f"{c}__q")[i].cast("double"), places).alias(f"{c}__{n}")
-                            for c in cols for i, n in enumerate(pn)])
-    return _long(one, cols, ["count", "mean", "std", "min", "max", *pn])
+                 F.min(c).cast("double").alias(f"{c}__min"), F.max(c).cast("double").alias(f"{c}__max")]
+    one = _long(df.agg(*aggs), cols, ["count", "mean", "std", "min", "max"])
+    names = {float(p): f"p{int(round(p * 100)):02d}" for p in probs}
+    q = exact_quantiles(df, cols, probs).groupBy("column_name").agg(
+        *[F.round(F.max(F.when(F.col("p") == p, F.col("value"))), places).alias(n) for p, n in names.items()])
+    return one.join(q, "column_name", "left")
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], places: int = 6) -> DataFrame:
-    """Pairwise-complete Pearson correlation, long form (a, b, corr), one pass."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    one = df.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    parts = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                      F.round(F.col(f"`{a}|{b}`"), places).alias("corr")) for a, b in pairs]
-    return one.select(F.explode(F.array(*parts)).alias("r")).select("r.*")
+    """Pairwise-complete Pearson correlation, long form (a, b, corr), from one Gramian."""
+    r = pairwise_correlation(df, cols)
+    rows = [(a, b, None if math.isnan(r[i, j]) else round(float(r[i, j]), places) + 0.0)
+            for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
 
 
 def value_counts(df: DataFrame, col: str, places: int = 4) -> DataFrame:
@@ -106,9 +101,10 @@ def value_counts(df: DataFrame, col: str, places: int = 4) -> DataFrame:
 
 
 def group_size_quartiles(counts: DataFrame, n_col: str = "n") -> DataFrame:
-    """25th and 75th percentile of group sizes (one row)."""
-    return counts.agg(F.percentile_approx(n_col, [0.25, 0.75], QUANTILE_ACCURACY).alias("__q")).select(
-        F.col("__q")[0].alias("q25"), F.col("__q")[1].alias("q75"))
+    """25th and 75th percentile of group sizes, interpolated (one row)."""
+    q = exact_quantiles(counts, [n_col], [0.25, 0.75])
+    return q.agg(F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q25"),
+                 F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("q75"))
 
 
 def cardinality(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:

@@ -3,8 +3,8 @@
 The data pass of every statistic is a Spark aggregation (cross products,
 class moments, binned counts) or an MLlib estimator; only p x p matrices and
 per-feature score tables reach the driver, where NumPy does the linear
-algebra.  VIF, for example, is one pass to X'X and one inverse instead of
-one regression per column.
+algebra.  VIF, for example, is one Gramian (``operators.gram``) and one inverse
+instead of one regression per column.
 """
 
 from __future__ import annotations
@@ -22,36 +22,14 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordertide.operators.profile import QUANTILE_ACCURACY
+from ordertide.operators.gram import Moments, moments
+from ordertide.operators.quantiles import quantile_rows
 
 
 # ---------------------------------------------------------------------------
-# one-pass moment matrices
+# VIF from the moment matrix
 # ---------------------------------------------------------------------------
 
-def cross_products(df: DataFrame, cols: Sequence[str], weight: str | None = None
-                   ) -> tuple[int, np.ndarray, np.ndarray]:
-    """(n, sums, X'WX) over complete rows in one aggregation pass.
-
-    Partial aggregation makes this a map-side reduction: every task ships
-    one p x p block, whatever the number of rows.
-    """
-    cols = list(cols)
-    d = df.dropna(subset=cols)
-    w = F.col(weight) if weight else F.lit(1.0)
-    p = len(cols)
-    aggs = [F.sum(w).alias("__n")] + [F.sum(w * F.col(c)).alias(f"s{i}") for i, c in enumerate(cols)]
-    aggs += [F.sum(w * F.col(a) * F.col(b)).alias(f"g{i}_{j}")
-             for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
-    r = d.agg(*aggs).first()
-    s = np.array([r[f"s{i}"] or 0.0 for i in range(p)], dtype=float)
-    g = np.zeros((p, p))
-    for i in range(p):
-        for j in range(i, p):
-            g[i, j] = g[j, i] = r[f"g{i}_{j}"] or 0.0
-    return r["__n"] or 0, s, g
-
-
 def _inv(m: np.ndarray) -> tuple[np.ndarray, bool]:
     try:
         if np.linalg.cond(m) > 1e12:
@@ -61,27 +39,21 @@ def _inv(m: np.ndarray) -> tuple[np.ndarray, bool]:
         return np.linalg.pinv(m), False
 
 
-def vif_from_moments(n: float, s: np.ndarray, g: np.ndarray, intercept: bool) -> np.ndarray:
-    """VIF per column from the moment matrices.
+def vif_from_moments(m: Moments, intercept: bool) -> np.ndarray:
+    """VIF per column from the moments.
 
     ``intercept=False`` (J1): uncentred, VIF_j = (X'X)_jj * ((X'X)^-1)_jj.
     ``intercept=True`` (J2): centred, VIF_j = diag(inv(R))_j for the
     correlation matrix R.  A singular matrix gives ``inf`` for the columns
     it involves.
     """
-    if intercept:
-        mean = s / n
-        cov = g / n - np.outer(mean, mean)
-        sd = np.sqrt(np.clip(np.diag(cov), 0, None))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            r = cov / np.outer(sd, sd)
-        inv, ok = _inv(r)
-        out = np.diag(inv).copy()
-        const = sd == 0
-    else:
-        inv, ok = _inv(g)
-        out = np.diag(g) * np.diag(inv)
-        const = np.diag(g) == 0
+    g = m.centred if intercept else m.gram()
+    sd = np.sqrt(np.clip(np.diag(g), 0, None))
+    const = sd == 0
+    with np.errstate(divide="ignore", invalid="ignore"):
+        r = np.where(np.outer(const, const) | (np.outer(sd, sd) == 0), 0.0, g / np.outer(sd, sd))
+    inv, ok = _inv(r)                      # scaled to a unit diagonal: both forms are diag(inv(R))
+    out = np.diag(inv).copy()
     if not ok:
         out = np.where(np.abs(out) > 1e10, np.inf, out)
     out[const] = np.inf
@@ -89,9 +61,8 @@ def vif_from_moments(n: float, s: np.ndarray, g: np.ndarray, intercept: bool) ->
 
 
 def vif(df: DataFrame, cols: Sequence[str], intercept: bool = True) -> DataFrame:
-    """VIF table (feature, vif) from one data pass."""
-    n, s, g = cross_products(df, cols)
-    v = vif_from_moments(n, s, g, intercept)
+    """VIF table (feature, vif) from one Gramian."""
+    v = vif_from_moments(moments(df, cols), intercept)
     spark = df.sparkSession
     return spark.createDataFrame([(c, float(x)) for c, x in zip(cols, v)], "feature string, vif double")
 
@@ -101,11 +72,10 @@ def vif_reduce(df: DataFrame, cols: Sequence[str], drop: Sequence[str] = (), thr
     """Drop the listed columns, then repeatedly the one with the largest
     VIF until all are below ``threshold``; submatrices of one X'X, no rescans."""
     cols = list(cols)
-    n, s, g = cross_products(df, cols)
+    m = moments(df, cols)
     keep = [c for c in cols if c not in set(drop)]
     while True:
-        idx = [cols.index(c) for c in keep]
-        v = vif_from_moments(n, s[idx], g[np.ix_(idx, idx)], intercept)
+        v = vif_from_moments(m.of([cols.index(c) for c in keep]), intercept)
         worst = int(np.argmax(v))
         if len(keep) <= 1 or v[worst] < threshold:
             break
@@ -267,7 +237,7 @@ def marginal_effects(model, df: DataFrame, cols: Sequence[str]) -> DataFrame:
     d = df.dropna(subset=cols).withColumn("__p", p).withColumn("__w", F.col("__p") * (1 - F.col("__p")))
     xs = [*cols, "__one"]
     d = d.withColumn("__one", F.lit(1.0))
-    n, _, xtwx = cross_products(d, xs, weight="__w")
+    xtwx = moments(d, xs, weight="__w").gram()
     m = d.agg(F.avg("__w").alias("mw"),
               *[F.avg(F.col("__w") * (1 - 2 * F.col("__p")) * F.col(c)).alias(f"j{i}")
                 for i, c in enumerate(xs)]).first()
@@ -344,10 +314,10 @@ def binned_mutual_info(df: DataFrame, target: str, cols: Sequence[str], bins: in
     """J20 (re-aimed): mutual information (nats) between quantile-binned
     features and a binary target, from ``groupBy(feature, bin, label).count``."""
     qs = [i / bins for i in range(1, bins)]
-    cuts = df.agg(*[F.percentile_approx(c, qs, QUANTILE_ACCURACY).alias(c) for c in cols]).first()
+    cuts = quantile_rows(df, cols, qs)
     parts = []
     for c in cols:
-        edges = sorted(set(float(x) for x in cuts[c] or []))
+        edges = sorted({x for x in cuts[c] if x is not None})
         b = sum((F.when(F.col(c) > e, 1).otherwise(0) for e in edges), F.lit(0))
         parts.append(F.struct(F.lit(c).alias("feature"), b.alias("bin")))
     long = df.select(F.col(target).alias("y"), F.explode(F.array(*parts)).alias("f")).select("f.*", "y")
