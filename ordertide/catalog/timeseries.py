@@ -265,8 +265,8 @@ def lookback_month_deviations(spark, sf):
     """C16j + D4 + D33.  ``event_id`` is the key of ``events`` (one date per
     event), so its distinct count over the window is the sum of per-day
     distinct counts: events are pre-aggregated per (user, day) before the
-    look-back explode."""
-    from ordertide.operators.relational import lookback_sums
+    sweep."""
+    from ordertide.operators.sweep import lookback_sums
     ev = table(spark, sf, "events").withColumn("e_date", F.to_date("ts"))
     spine = (ev.groupBy("user_id").agg(F.min("e_date").alias("d0"), F.max("e_date").alias("d1"))
              .select("user_id", F.explode(F.sequence("d0", "d1")).alias("calendar_date")))

@@ -16,7 +16,8 @@ Scale notes
 * ``interval_join`` with ``bucket`` equi-joins on (key, time bucket) so a hot
   key does not degenerate into one quadratic task.
 * ``lookback_counts`` replaces a theta join (planned as a nested-loop join) by
-  an explode into at most 31 candidate days and an equi aggregation.
+  an explode into at most 31 candidate days and an equi aggregation; counts and
+  sums have a cheaper form (``operators.sweep``).
 """
 
 from __future__ import annotations
@@ -34,10 +35,6 @@ def _c(x: ColLike) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-# ---------------------------------------------------------------------------
-# size-checked broadcast
-# ---------------------------------------------------------------------------
-
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column],
                    tiebreak: Sequence[Column] = (), rank_col: str | None = None) -> DataFrame:
     """Keep the first row per ``keys`` under ``order_by`` (+ ``tiebreak``).
@@ -240,11 +237,6 @@ def close_intervals(df: DataFrame, by: Sequence[str], ts: str, end_name: str,
 # calendar and month look-backs (C13j, C15j, C16j)
 # ---------------------------------------------------------------------------
 
-def expand_days(df: DataFrame, start: ColLike, end: ColLike, name: str = "calendar_date") -> DataFrame:
-    """One row per day in ``[start, end]`` (explode of ``sequence``)."""
-    return df.withColumn(name, F.explode(F.sequence(F.to_date(_c(start)), F.to_date(_c(end)))))
-
-
 def rolling_month_sum(df: DataFrame, by: Sequence[str], date: str, value: str,
                       name: str) -> DataFrame:
     """Sum of ``value`` over ``[date - 1 month, date]`` per key (RANGE frame)."""
@@ -274,16 +266,3 @@ def lookback_counts(spine: DataFrame, events: DataFrame, by: Sequence[str], spin
                  [F.col(f"s.{k}") == F.col(f"a.{k}") for k in by]
                  + [F.col(f"s.{spine_date}") == F.col("a.__d")], "left")
     return out.select("s.*", *[F.col(f"a.{n}") for n in measures])
-
-
-def lookback_sums(spine: DataFrame, daily: DataFrame, by: Sequence[str], spine_date: str, day: str,
-                  sums: Sequence[str], months: int = 1) -> DataFrame:
-    """``lookback_counts`` for measures that add up over days.
-
-    ``daily`` holds one row per (key, day) with per-day totals (pre-aggregated,
-    so a hot key contributes one row per day, not one per event).  Each daily
-    row is exploded into the <= 31 spine days whose look-back window
-    ``[d - months, d - 1 day]`` contains it and the totals are summed.  A
-    distinct count of a unique key (one day per key) is such a measure.
-    """
-    return lookback_counts(spine, daily, by, spine_date, day, {n: F.sum(n) for n in sums}, months)
