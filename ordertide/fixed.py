@@ -9,6 +9,18 @@ STATUS_CREATED = "Created"
 STATUS_ALLOCATED = "Allocated"
 STATUS_SENT = "Sent for fulfillment"
 
+# Work-order hold type, its statuses, and the status of a paid order.
+HOLD_TYPE = "WOConfHold"
+HOLD_CREATED = "1100"
+HOLD_ACKNOWLEDGED = "1300"
+PAID = "FULLY_PAID"
+
+# Event types and outcomes of automatic recoveries.
+DEVIATION = "Deviation"
+AUTO_RECOVERY = "Auto-recovery"
+RECOVERED_CASES = ["Case 1", "Case 2", "Case 3", "Case 4"]
+FAILED_CASES = ["Case 5+6"]
+
 # Order stages.
 STAGE_ORDER_PROCESSING = "ORDER PROCESSING"
 STAGE_FULFILMENT = "FULFILMENT"
