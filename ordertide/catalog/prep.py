@@ -312,3 +312,31 @@ def level_indicators(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderpriority") == "5-LOW", None)
                  .otherwise(F.col("o_orderpriority")).alias("p"))
     return X.level_indicators(o, "p", _PRIOS, "prio").drop("p")
+
+
+# --------------------------------------------------------------------------
+# I8 (+ I1, I2, I6, I7, I10-I12): preparation in one call, sparse features with kept state
+# --------------------------------------------------------------------------
+
+@query("prepare_table", oracle="""
+WITH s AS (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END AS price,
+                  CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS priority, o_orderstatus AS status FROM orders),
+f AS (SELECT o_orderkey, coalesce(price, (SELECT quantile_cont(price, 0.5) FROM s)) AS price, status,
+             coalesce(priority, (SELECT priority FROM s WHERE priority IS NOT NULL GROUP BY priority ORDER BY count(*) DESC, priority LIMIT 1)) AS priority
+      FROM s)
+SELECT o_orderkey, round((price - (SELECT avg(price) FROM f)) / (SELECT stddev_pop(price) FROM f), 6) AS z_price,
+       nullif(priority, (SELECT min(priority) FROM f)) AS priority_level, nullif(status, (SELECT min(status) FROM f)) AS status_level
+FROM f
+""")
+def prepare_table(spark, sf):
+    """I8: fills, scales and encodes in one call; the entries of each row's sparse vector, read back by name."""
+    from pyspark.ml.functions import vector_to_array
+    from ordertide.operators.tables import TablePreparer, named_entries
+    o = table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderstatus") != "F", F.col("o_totalprice")).alias("price"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("priority"), F.col("o_orderstatus").alias("status"))
+    model = TablePreparer(numericCols=["price"], categoricalCols=["priority", "status"]).fit(o)
+    out = model.transform(o)
+    names = named_entries(model, out, ["o_orderkey"]).groupBy("o_orderkey").pivot("column_name", ["priority", "status"]).agg(F.first("level"))
+    return out.select("o_orderkey", F.round(vector_to_array("features")[0], 6).alias("z_price")).join(names, "o_orderkey", "left").withColumnsRenamed(
+        {"priority": "priority_level", "status": "status_level"})

@@ -105,8 +105,8 @@ def classifier_study(df: DataFrame, label: str, numeric: Sequence[str], categori
     feats = [*numeric, f"{categorical}_freq", *onehot]
     train = scaled.filter(F.col("split") == "train").fillna(0.0, feats)
     test = scaled.filter(F.col("split") == "test").fillna(0.0, feats)
-    est, space = M.model_factory("random_forest", label=label)
-    cv = M.cv_search(train, label, feats, est, space, n_trials=n_trials)
+    est, space, scorer = M.model_factory("random_forest", label=label)
+    cv = M.cv_search(train, label, feats, est, space, scorer, n_trials=n_trials)
     scored = M.score_batch(cv.bestModel, test, feats)
     report = M.classification_report(scored, label, "prediction")
     pk = M.precision_recall_at_k(scored.select(*key, label, "score"), label, "score", [0.2]).first()
