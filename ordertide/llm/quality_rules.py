@@ -11,15 +11,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ordertide.llm.common import written
+
 SPACE = r"[\x20\x09-\x0D]+"
-SPACES = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
+SYMBOL = "[#*$%&|<>]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MIN_WORDS = 50
 MAX_REPEAT = 50           # per cent of words in repeated windows
 MAX_DOCS = 25             # a line may be in so many documents of a host
 MIN_LEFT = 0.3            # share of its words that a document must keep
 SALT = 16
+FEW = 8                   # repeated windows of a text that are looked up one by one
 
 
 def _let(value: Column, body) -> Column:
@@ -32,40 +34,61 @@ def words(text: Column) -> Column:
 
 
 def repeated_window_words(w: Column) -> Column:
-    """Words inside three-word windows that occur twice or more in the array ``w``."""
-    windows = F.when(F.size(w) >= 3, F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.struct(
-        F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i"))))
-    windows = F.coalesce(windows, F.array().cast("array<struct<h:bigint,i:int>>"))
-    found = _let(F.sort_array(windows), lambda s: F.filter(s, lambda x, j: F.coalesce(
-        (F.get(s, j - 1)["h"] == x["h"]), F.lit(False)) | F.coalesce(F.get(s, j + 1)["h"] == x["h"], F.lit(False))))
-    spread = F.flatten(F.transform(found, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2)))
-    return F.size(F.array_distinct(spread)).cast("long")
-
-
-def document_statistics(text: Column) -> Column:
-    """Struct of n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words."""
-    lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    counted = _let(words(text), lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_window_words(w).alias("r")))
-    return _let(counted, lambda c: F.struct(
-        c["n"].alias("n_words"),
-        F.length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        c["r"].alias("n_repeat_words")))
-
-
-def _line_keys(text: Column, host: Column) -> Column:
-    """Array of (a, b, words, first): 128-bit key of host and normalised line, words in
-    the line, and whether it is the key's first entry of the document."""
+    """Words inside three-word windows that occur twice or more in the array ``w``.
+
+    The windows' hashes are sorted to find those that repeat.  Few of them are then
+    looked up window by window; of many, the windows are sorted with their places."""
+    none = F.array().cast("array<bigint>")
+    hashes = F.coalesce(F.when(F.size(w) >= 3, F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(
+        F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))), none)
+
+    def repeats(h: Column) -> Column:
+        again = _let(F.sort_array(h), lambda s: F.filter(s, lambda x, j: (j > 0) & (F.get(s, j - 1) == x)))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), none).otherwise(F.array_distinct(again))
+
+    def places(h: Column) -> Column:
+        windows = F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))
+        found = _let(F.sort_array(windows), lambda s: F.filter(s, lambda x, j: F.coalesce(
+            (F.get(s, j - 1)["h"] == x["h"]), F.lit(False)) | F.coalesce(F.get(s, j + 1)["h"] == x["h"], F.lit(False))))
+        return F.transform(found, lambda x: x["i"])
+
+    def covered(at: Column) -> Column:
+        return F.size(F.array_distinct(F.flatten(F.transform(at, lambda i: F.array(i, i + 1, i + 2)))))
+
+    return _let(hashes, lambda h: _let(repeats(h), lambda r: F.when(F.size(r) == 0, 0)
+                .when(F.size(r) <= FEW, covered(F.filter(F.transform(h, lambda x, i: F.when(F.array_contains(r, x), i)), lambda i: i.isNotNull())))
+                .otherwise(covered(places(h))))).cast("long")
+
+
+def _lower(text: Column) -> Column:
+    """A-Z in lower case (``lower`` is that for ASCII alone, and faster)."""
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
+def document_facts(text: Column, host: Column) -> Column:
+    """Struct of n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and ``lines``.
+
+    ``lines`` is an array of (a, b, words, first): 128-bit key of host and normalised
+    line, words in the line, and whether it is the key's first entry of the document."""
+    full = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+
     def key(line: Column) -> Column:
-        norm = F.concat_ws(" ", words(F.translate(line, UPPER, LOWER)))
-        return F.struct(F.xxhash64(F.lit(1), host, norm).alias("a"), F.xxhash64(F.lit(2), host, norm).alias("b"),
-                        F.size(words(line)).alias("words"))
+        return _let(_lower(F.array_join(line, " ")), lambda norm: F.struct(
+            F.xxhash64(F.lit(1), host, norm).alias("a"), F.xxhash64(F.lit(2), host, norm).alias("b"), F.size(line).alias("words")))
+
+    def marked(keys: Column) -> Column:
+        return _let(F.sort_array(keys), lambda s: F.transform(s, lambda k, j: F.struct(
+            k["a"].alias("a"), k["b"].alias("b"), k["words"].alias("words"),
+            F.when((F.get(s, j - 1)["a"] == k["a"]) & (F.get(s, j - 1)["b"] == k["b"]), 0).otherwise(1).alias("first"))))
 
-    keys = F.filter(F.transform(F.split(text, "\n", -1), key), lambda k: k["words"] > 0)
-    return _let(F.sort_array(keys), lambda s: F.transform(s, lambda k, j: F.struct(
-        k["a"].alias("a"), k["b"].alias("b"), k["words"].alias("words"),
-        F.when((F.get(s, j - 1)["a"] == k["a"]) & (F.get(s, j - 1)["b"] == k["b"]), 0).otherwise(1).alias("first"))))
+    # the words of a text are those of its lines: one split serves both
+    return _let(F.transform(full, words), lambda by_line: _let(F.flatten(by_line), lambda w: F.struct(
+        F.size(w).cast("long").alias("n_words"),
+        F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+        F.regexp_count(text, F.lit(SYMBOL)).cast("long").alias("n_symbols"),
+        _let(full, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+        repeated_window_words(w).alias("n_repeat_words"),
+        marked(F.transform(by_line, key)).alias("lines"))))
 
 
 def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
@@ -79,29 +102,32 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the words is left.
 
     Null texts count as empty (no words, hence failed); null hosts are one host of
-    their own; every row counts as a document, repeated rows and null ids too.  An
-    empty table gives an empty result.  Lines are compared by 128-bit hashes of host
-    and words, windows by 64-bit hashes within a document.  A line that very many
-    documents hold is pre-aggregated for the count and salted in the join."""
+    their own; rows with the same id, host and text are one document, and each gets
+    its result.  An empty table gives an empty result.  Lines are compared by 128-bit
+    hashes of host and words, windows by 64-bit hashes within a document.  A line that
+    very many documents hold is pre-aggregated for the count and salted in the join.
+    Texts are read once; what is kept of them, counts and line keys, is a written table."""
     host = F.coalesce(F.col("host"), F.lit("\0"))
     src = df.select(F.col(id_col).alias("id"), F.col(host_col).cast("string").alias("host"),
                     F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    row = [F.xxhash64(F.lit(k), "id", "host", "text").alias(f"r{k}") for k in (1, 2)]
-    stats = src.select("id", *row, document_statistics(F.col("text")).alias("s")).select("id", "r1", "r2", "s.*")
-    stats = stats.groupBy(*stats.columns).agg(F.count("*").alias("copies"))
-
-    lines = src.select(*row, F.explode(_line_keys(F.col("text"), host)).alias("k")).select("r1", "r2", "k.*")
-    common = lines.groupBy("a", "b").agg(F.sum("first").alias("docs")).where(F.col("docs") > max_docs).select(
+    same = [F.xxhash64(F.lit(k), "id", "host", "text").alias(f"r{k}") for k in (1, 2)]
+    docs = src.select("id", *same, document_facts(F.col("text"), host).alias("s"))
+    docs = written(docs.select("id", "r1", "r2", "s.*", F.monotonically_increasing_id().alias("r")), "quality-facts")
+
+    again = docs.groupBy("r1", "r2").agg(F.min("r").alias("one"), F.count("*").alias("copies")).where("copies > 1")
+    copies = docs.join(again, ["r1", "r2"]).where("r <> one").select("r")
+    lines = docs.select("r", F.explode("lines").alias("k")).select("r", "k.*")
+    common = docs.join(copies, "r", "left_anti").select(F.explode("lines").alias("k")).select("k.*")
+    common = common.groupBy("a", "b").agg(F.sum("first").alias("docs")).where(F.col("docs") > max_docs).select(
         F.col("a").alias("ca"), F.col("b").alias("cb"), F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("cs"))
-    removed = (lines.withColumn("salt", F.pmod("r1", F.lit(SALT)))
+    removed = (lines.withColumn("salt", F.pmod("r", F.lit(SALT)))
                .join(common, (F.col("a") == F.col("ca")) & (F.col("b") == F.col("cb")) & (F.col("salt") == F.col("cs")))
-               .groupBy(F.col("r1").alias("q1"), F.col("r2").alias("q2")).agg(F.sum("words").alias("gone")))
-    out = stats.join(removed, (F.col("r1") == F.col("q1")) & (F.col("r2") == F.col("q2")), "left").withColumn(
-        "n_removed_words", F.coalesce((F.col("gone") / F.col("copies")).cast("long"), F.lit(0).cast("long")))
+               .groupBy(F.col("r").alias("q")).agg(F.sum("words").alias("gone")))
+    out = docs.drop("lines").join(removed, F.col("r") == F.col("q"), "left").withColumn(
+        "n_removed_words", F.coalesce(F.col("gone"), F.lit(0)).cast("long"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
     left = F.col("n_words") - F.col("n_removed_words") >= min_left * F.col("n_words")
     return (out.withColumn("base_failed", failed).withColumn("kept", ~failed & left)
-            .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
             .select("id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                     "n_removed_words", "kept"))
 
