@@ -50,14 +50,15 @@ def normal(text: bytes) -> bytes:
 
 
 @functools.cache
-def _random(walk: int, steps: int, samples: int, sampled: int) -> tuple[np.ndarray, list[list[int]], np.ndarray]:
-    """Moves by step and character, the keys that sample each step, and the terms they add."""
+def _random(walk: int, steps: int, samples: int, sampled: int) -> tuple[np.ndarray, list[list[int]]]:
+    """By step and character: the move, in the lowest bit, and above it the term that the
+    step adds to a key; and the keys that sample each step."""
     rng = np.random.default_rng(1000 + walk)
     moves = rng.integers(0, 2, (STEPS, 256), dtype=np.int64)
     drawn = [rng.choice(steps, sampled, replace=False) for _ in range(samples)]
     factor = (rng.integers(1, 1 << 62, STEPS) * 2 + 1).astype(np.uint64)
-    return moves, [[z for z in range(samples) if j in drawn[z]] for j in range(max(map(max, drawn)) + 1)], (
-        np.arange(1, 257, dtype=np.uint64) * factor[:, None])
+    terms = np.arange(1, 257, dtype=np.uint64) * factor[:, None]
+    return (terms << np.uint64(1)).view(np.int64) | moves, [[z for z in range(samples) if j in drawn[z]] for j in range(max(map(max, drawn)) + 1)]
 
 
 def embed(data: np.ndarray, at: np.ndarray, steps: int, walks: int, samples: int, sampled: int) -> list[np.ndarray]:
@@ -67,19 +68,21 @@ def embed(data: np.ndarray, at: np.ndarray, steps: int, walks: int, samples: int
     if not len(at):
         return [np.zeros(0, np.uint64)] * (walks * samples)
     data, at = data[at[0]:at[-1] + STEPS].astype(np.int64), at - at[0]
-    c, add = np.empty(len(at), np.int64), np.empty(len(at), np.uint64)
+    c, both, move = (np.empty(len(at), np.int64) for _ in range(3))
     for walk in range(walks):
-        moves, own, terms = _random(walk, steps, samples, sampled)
-        keys = [np.zeros(len(at), np.uint64) for _ in range(samples)]
-        pos, move = at.copy(), np.empty(len(at), np.int64)
+        table, own = _random(walk, steps, samples, sampled)
+        keys = [np.zeros(len(at), np.int64) for _ in range(samples)]
+        pos = at.copy()
         for j, zs in enumerate(own):
-            np.take(data, pos, out=c, mode="clip")
+            data.take(pos, out=c, mode="clip")
+            table[j].take(c, out=both, mode="clip")
+            np.bitwise_and(both, 1, out=move)
+            pos += move
             if zs:
-                np.take(terms[j], c, out=add, mode="clip")
+                both -= move
                 for z in zs:
-                    keys[z] += add
-            np.take(moves[j], c, out=move, mode="clip")
-            pos += move
+                    keys[z] += both
+        keys = [k.view(np.uint64) for k in keys]
         for k in keys:
             k ^= k >> np.uint64(31)
             k *= np.uint64(0x9E3779B97F4A7C15)
