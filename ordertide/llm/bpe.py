@@ -6,42 +6,51 @@ token) rows.  One step of a recursive query joins neighbouring tokens with the
 merge table, picks each piece's leftmost pair of the lowest rank and contracts
 it; the recursion ends when no piece has a pair left.  Decoding joins ids with
 the vocabulary and aggregates the byte strings in order of position.
+
+Every token that a contraction makes is a token of the vocabulary that stands in the
+text.  Where none of those spans two neighbouring bytes, no contraction can join them:
+longer pieces are cut there first, so text without spaces (Chinese, say) falls into
+short parts that are met again and again.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordertide.llm.common import map_arrow, Memo, space_segments, text_bytes, worker_state
 
-BATCH_PIECES = 40_000     # pieces contracted by one recursive query
-LONG_PIECE = 256          # bytes; longer pieces contract all occurrences of their lowest pair per step
+BATCH_WORK = 1 << 22      # sum of squared lengths of the pieces contracted by one recursive query
+LONG_PIECE = 48           # bytes; longer pieces are cut, and contract all occurrences of their lowest pair per step
+LONG_BATCH = 1 << 18      # bytes of long pieces contracted together
 DECODE_TOKENS = 1 << 20   # ids decoded by one query
+TEXT_BYTES = 6 << 20      # texts encoded together
 MEMO = 300_000            # segments a worker remembers, see Memo
 
 # Keys are piece << 32 | position, so one ordering serves pieces and positions.
 _PAIRS = """
-p AS (SELECT *, lead(tok) OVER x AS nxt, lead(k) OVER x AS nk, lag(k) OVER x AS bk FROM {t} WINDOW x AS (ORDER BY k)),
+p AS (SELECT *, lead(tok) OVER x AS nxt, lead(k) OVER x AS nk FROM {t} WINDOW x AS (ORDER BY k)),
 r AS (SELECT p.*, m.merged FROM p LEFT JOIN merges m
       ON m.pair = CASE WHEN p.nk >> 32 = p.k >> 32 THEN p.tok::BIGINT << 20 | p.nxt END)
 """
-_ENCODE = f"""
+_ENCODE = """
 WITH RECURSIVE t(step, k, tok) AS (
   SELECT 0, k, tok FROM start_rows
   UNION ALL (
-    WITH {_PAIRS.format(t="t")},
-    b AS (SELECT k >> 32 AS piece, min(merged::BIGINT << 32 | (k & 4294967295)) AS best
-          FROM r WHERE merged IS NOT NULL GROUP BY 1)
-    SELECT r.step + 1, r.k,
-           CASE WHEN r.k & 4294967295 = b.best & 4294967295 THEN (b.best >> 32)::INTEGER ELSE r.tok END
-    FROM r JOIN b ON b.piece = r.k >> 32
-    WHERE r.bk IS NULL OR r.bk <> (b.piece << 32 | (b.best & 4294967295)))
+    WITH p AS (SELECT *, lead(tok) OVER x AS nxt, lead(k) OVER x AS nk FROM t WINDOW x AS (ORDER BY k)),
+    r AS (SELECT k >> 32 AS piece, m.merged::BIGINT << 32 | (k & 4294967295) AS rank_at, nk
+          FROM p JOIN merges m ON m.pair = p.tok::BIGINT << 20 | p.nxt WHERE nk >> 32 = k >> 32),
+    b AS (SELECT piece, min(rank_at) AS best, arg_min(nk, rank_at) AS gone FROM r GROUP BY piece)
+    SELECT t.step + 1, t.k,
+           CASE WHEN t.k & 4294967295 = b.best & 4294967295 THEN (b.best >> 32)::INTEGER ELSE t.tok END
+    FROM t JOIN b ON b.piece = t.k >> 32 WHERE t.k <> b.gone)
 ), last AS (SELECT k >> 32 AS piece, max(step) AS step FROM t GROUP BY 1)
 SELECT piece, list(tok ORDER BY k) AS ids
 FROM t JOIN last ON last.piece = t.k >> 32 AND last.step = t.step GROUP BY piece ORDER BY piece
@@ -58,9 +67,10 @@ c AS (SELECT *, hit AND row_number() OVER (PARTITION BY run, hit ORDER BY k) % 2
 l AS (SELECT *, lag(take) OVER (ORDER BY k) AS gone FROM c)
 SELECT k, CASE WHEN take THEN best ELSE tok END AS tok FROM l WHERE NOT coalesce(gone, FALSE)
 """
+# One thread aggregates the rows in the order of the subquery: one sort of all rows by their place.
 _DECODE = """
-SELECT chunk, string_agg(bytes, '' ORDER BY pos) AS bytes
-FROM id_rows JOIN vocab USING (tok) GROUP BY chunk ORDER BY chunk
+SELECT chunk, string_agg(bytes, '') AS bytes
+FROM (SELECT chunk, bytes FROM id_rows JOIN vocab USING (tok) ORDER BY pos) GROUP BY chunk ORDER BY chunk
 """
 
 
@@ -75,7 +85,8 @@ class Bpe:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.find = regex.compile(pattern).findall
         self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        # nothing is spilled to a folder of the machine
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         merges = [(self.ranks[t[:i]] << 20 | self.ranks[t[i:]], r) for t, r in self.ranks.items()
                   for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         pair, merged = np.array(merges, np.int64).reshape(-1, 2).T
@@ -83,7 +94,8 @@ class Bpe:
         self._table("vocab", pa.table({"tok": np.array(list(self.ranks.values()), np.int32),
                                        "bytes": [t.decode("latin-1") for t in self.ranks]}))
         self.memo = Memo(MEMO)
-        self.decimal = [str(i) for i in range(max(self.ranks.values()) + 1)]
+        self.decimal = pa.array([str(i) for i in range(max(self.ranks.values()) + 1)])
+        self.spans = None
 
     def _table(self, name: str, rows: pa.Table) -> None:
         self.db.register("rows_in", rows)
@@ -107,51 +119,88 @@ class Bpe:
         at, flat = ids.offsets.to_numpy() * 4, ids.values.to_numpy(zero_copy_only=False).astype(np.int32).tobytes()
         return [flat[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
-    def _long(self, piece: bytes) -> bytes:
-        """The same contraction for one long piece, step by step, keeping one state only."""
-        self._table("long_rows", self._rows([piece]))
-        size = len(piece)
+    def _long(self, pieces: list[bytes]) -> list[bytes]:
+        """The same contraction for long pieces, step by step, keeping one state only; pieces
+        that are done step aside."""
+        self._table("long_rows", self._rows(pieces))
+        self._run("CREATE OR REPLACE TEMP TABLE long_done AS SELECT * FROM long_rows LIMIT 0")
         while True:
+            self._run(f"CREATE OR REPLACE TEMP TABLE long_open AS WITH {_PAIRS.format(t='long_rows')} "
+                      "SELECT DISTINCT k >> 32 AS piece FROM r WHERE merged IS NOT NULL")
+            self._run("INSERT INTO long_done SELECT * FROM long_rows WHERE k >> 32 NOT IN (SELECT piece FROM long_open)")
+            self._run("CREATE OR REPLACE TEMP TABLE long_rows AS SELECT * FROM long_rows WHERE k >> 32 IN (SELECT piece FROM long_open)")
+            if not self._run("SELECT count(*) FROM long_rows")[0][0]:
+                break
             self._run(_LONG_STEP)
             self._run("CREATE OR REPLACE TEMP TABLE long_rows AS SELECT * FROM long_next")
-            left = self._run("SELECT count(*) FROM long_rows")[0][0]
-            if left == size:
-                ids = self.db.sql("SELECT tok FROM long_rows ORDER BY k").to_arrow_table().column(0)
-                return ids.to_numpy().astype(np.int32).tobytes()
-            size = left
+        got = self.db.sql("SELECT k >> 32 AS piece, tok FROM long_done ORDER BY k").to_arrow_table()
+        at = np.searchsorted(got.column("piece").to_numpy(), np.arange(len(pieces) + 1)) * 4
+        flat = got.column("tok").to_numpy().astype(np.int32).tobytes()
+        return [flat[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+
+    def cut(self, piece: bytes) -> list[bytes]:
+        """The piece cut between the bytes that no token of the vocabulary spans in it."""
+        if self.spans is None:
+            import ahocorasick
+            self.spans = ahocorasick.Automaton()
+            for t in self.ranks:
+                if len(t) > 1:
+                    self.spans.add_word(t.decode("latin-1"), len(t))
+            self.spans.make_automaton()
+        covered = np.zeros(len(piece) + 1, np.int64)         # how many tokens span the place before each byte
+        found = np.array(list(self.spans.iter(piece.decode("latin-1"))), np.int64).reshape(-1, 2)
+        np.add.at(covered, found[:, 0] - found[:, 1] + 2, 1)
+        np.add.at(covered, found[:, 0] + 1, -1)
+        at = [0, *(np.nonzero(np.cumsum(covered)[1:-1] == 0)[0] + 1).tolist(), len(piece)]
+        return [piece[a:b] for a, b in zip(at, at[1:])]
 
     def contract(self, pieces: list[bytes]) -> list[bytes]:
         """Ids (int32 bytes) of each piece (a piece that is a token of its own stays whole)."""
         out: list = [None] * len(pieces)
-        short = []
+        short, long = [], []
         for i, p in enumerate(pieces):
             if p in self.ranks:
                 out[i] = np.int32(self.ranks[p]).tobytes()
-            elif len(p) > LONG_PIECE:
-                out[i] = self._long(p)
             else:
-                short.append(i)
-        for s in range(0, len(short), BATCH_PIECES):
-            own = short[s:s + BATCH_PIECES]
-            for i, ids in zip(own, self._short([pieces[i] for i in own])):
-                out[i] = ids
+                (long if len(p) > LONG_PIECE else short).append(i)
+        for own, power, most, run in ((short, 2, BATCH_WORK, self._short), (long, 1, LONG_BATCH, self._long)):
+            held, group = 0, []
+            for i in own:
+                group.append(i)
+                held += len(pieces[i]) ** power
+                if held >= most or i == own[-1]:
+                    for j, ids in zip(group, run([pieces[j] for j in group])):
+                        out[j] = ids
+                    held, group = 0, []
         return out
 
     def _learn(self, segments: list[str]) -> list[bytes]:
         split = [self.find(s) for s in segments]
         distinct = list(dict.fromkeys(p for s in split for p in s))
-        of = dict(zip(distinct, self.contract([p.encode() for p in distinct])))
+        parts = [[p] if len(p) <= LONG_PIECE or p in self.ranks else self.cut(p) for p in map(str.encode, distinct)]
+        met = list(dict.fromkeys(q for x in parts for q in x))
+        ids = dict(zip(met, self.contract(met)))
+        of = {p: ids[x[0]] if len(x) == 1 else b"".join([ids[q] for q in x]) for p, x in zip(distinct, parts)}
         return [b"".join([of[p] for p in s]) for s in split]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text; distinct segments are contracted once.  Texts are split
-        twice: holding the segments of all of them takes ten times their size."""
-        of = self.memo.known((s for t in texts for s in space_segments(t)), self._learn)
-        return [np.frombuffer(b"".join([of[s] for s in space_segments(t)]), np.int32) for t in texts]
+        """Ids of each text; distinct segments are contracted once.  Texts are taken
+        together up to ``TEXT_BYTES``, whose segments take ten times as much."""
+        out, group, held = [], [], 0
+        for n, t in enumerate(texts, 1):
+            group.append(space_segments(t))
+            held += len(t)
+            if held >= TEXT_BYTES or n == len(texts):
+                of = self.memo.known(chain.from_iterable(group), self._learn)
+                out += [np.frombuffer(b"".join([of[s] for s in x]), np.int32) for x in group]
+                group, held = [], 0
+        return out
 
-    def as_text(self, ids: np.ndarray) -> str:
-        decimal = self.decimal
-        return " ".join([decimal[i] for i in ids.tolist()])
+    def as_text(self, ids: list[np.ndarray]) -> pa.Array:
+        """The ids of each text as decimals joined by one space."""
+        ends = pa.array(np.cumsum([0, *map(len, ids)]), pa.int64())
+        flat = self.decimal.take(pa.array(np.concatenate(ids) if ids else [], pa.int32()))
+        return pc.binary_join(pa.LargeListArray.from_arrays(ends, flat), " ")
 
     def decode(self, docs: list[np.ndarray]) -> list[bytes]:
         """Bytes of each id sequence; long sequences are decoded in chunks and joined."""
@@ -163,7 +212,7 @@ class Bpe:
                 n = np.array([len(t) for _, t in todo])
                 self.db.register("id_rows", pa.table({
                     "chunk": np.repeat(np.arange(len(todo), dtype=np.int32), n),
-                    "pos": np.arange(n.sum()), "tok": np.concatenate([t for _, t in todo])}))
+                    "pos": np.arange(n.sum(), dtype=np.int32), "tok": np.concatenate([t for _, t in todo])}))
                 got = self.db.sql(_DECODE).to_arrow_table()
                 self.db.unregister("id_rows")
                 for c, b in zip(got.column("chunk").to_pylist(), got.column("bytes").to_pylist()):
@@ -248,7 +297,7 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
         for ids, texts in _texts(batches):
             got = bpe.encode(texts)
             yield pa.RecordBatch.from_arrays([
-                ids, pa.array([len(x) for x in got], pa.int64()), pa.array([sha(bpe.as_text(x).encode()) for x in got]),
+                ids, pa.array([len(x) for x in got], pa.int64()), pa.array([sha(d.as_buffer()) for d in bpe.as_text(got)]),
                 pa.array([sha(d) for d in bpe.decode(got)])],
                 names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

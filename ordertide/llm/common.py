@@ -149,23 +149,32 @@ def space_segments(text: str) -> list[str]:
 
 class Memo:
     """What a worker remembers of the keys it has met: two generations of at most
-    ``size`` keys each, so memory is bounded and frequent keys stay.  It saves work
-    and never changes a result."""
+    ``size`` keys of together ``chars`` characters each, and none longer than ``longest``,
+    so memory is bounded and frequent keys stay.  It saves work and never changes a
+    result."""
 
-    def __init__(self, size: int):
-        self.size, self.young, self.old = size, {}, {}
+    def __init__(self, size: int, chars: int = 16 << 20, longest: int = 4096):
+        self.size, self.chars, self.longest = size, chars, longest
+        self.young, self.old, self.held, self.passing = {}, {}, 0, []
 
     def known(self, keys, learn) -> dict:
-        """A dict that holds all ``keys``; ``learn`` gives the values of a list of new ones."""
-        if len(self.young) > self.size:
-            self.young, self.old = {}, self.young
+        """A dict that holds all ``keys`` until the next call; ``learn`` gives the values of a
+        list of new ones."""
+        for k in self.passing:
+            del self.young[k]
+        self.passing = []
+        if len(self.young) > self.size or self.held > self.chars:
+            self.young, self.old, self.held = {}, self.young, 0
         young, old, new = self.young, self.old, []
         for k in dict.fromkeys(keys):
             if k not in young:
                 if k in old:
                     young[k] = old[k]
+                    self.held += len(k)
                 else:
                     new.append(k)
         if new:
             young.update(zip(new, learn(new)))
+            self.passing = [k for k in new if len(k) > self.longest]
+            self.held += sum(map(len, new))
         return young
