@@ -48,4 +48,4 @@ def load_all() -> None:
         importlib.import_module(f"ordertide.catalog.{mod}")
 
 
-_MODULES = ["kpis", "dedup", "joins", "timeseries", "recovery", "aggregates", "calendar", "labels", "profiling", "prep", "models", "joins2", "notification", "features", "order_lines", "deliveries", "inspect"]
+_MODULES = ["kpis", "dedup", "joins", "timeseries", "recovery", "aggregates", "calendar", "labels", "profiling", "prep", "models", "joins2", "notification", "features", "order_lines", "deliveries", "columns", "inspect"]

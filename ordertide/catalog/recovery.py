@@ -98,7 +98,9 @@ m AS (SELECT CAST(count(*) AS DOUBLE) AS total_deliveries,
              round(100.0 * sum(first_attempt_success) / count(*), 4) AS first_attempt_success_pct,
              round(avg(first_success_attempt), 4) AS mean_attempts_to_success,
              round(100.0 * count(*) FILTER (WHERE first_success_attempt > 1) / nullif(sum(ever_successful), 0), 4)
-               AS later_attempt_success_pct
+               AS later_attempt_success_pct,
+             round(100.0 * avg(never_successful), 4) AS never_successful_pct,
+             round(100.0 * avg(ever_successful) FILTER (first_attempt_success = 0), 4) AS recovery_after_first_failure_pct
       FROM r)
 UNPIVOT m ON COLUMNS(*) INTO NAME metric VALUE value
 """)
@@ -107,13 +109,16 @@ def key_metrics(spark, sf):
     return R.key_metrics(roll)
 
 
-@query("flag_consistency", oracle=_SQL_ATTEMPTS + """
-SELECT user_id, count(DISTINCT ever_successful) AS n_flag_values,
-       CASE WHEN count(DISTINCT ever_successful) <= 1 THEN 1 ELSE 0 END AS consistent
-FROM a GROUP BY user_id
+@query("flag_consistency", oracle="""
+SELECT user_id, count(DISTINCT value >= 25) AS n_successful_AR, count(DISTINCT event_id % 2) AS n_recorded, 
+       CAST(count(DISTINCT value >= 25) <= 1 AND count(DISTINCT event_id % 2) <= 1 AS INT) AS consistent
+FROM events WHERE event_type = 'purchase' GROUP BY user_id
 """)
 def flag_consistency(spark, sf):
-    return R.flag_consistency(attempts(spark, sf), DELIVERY)
+    """D19 on flags that each row carries."""
+    e = table(spark, sf, "events").filter("event_type = 'purchase'").select(
+        "user_id", (F.col("value") >= 25).cast("int").alias("successful_AR"), (F.col("event_id") % 2).alias("recorded"))
+    return R.flag_consistency(e, DELIVERY, ["successful_AR", "recorded"])
 
 
 @query("delivery_rollup", oracle=_SQL_ATTEMPTS + """

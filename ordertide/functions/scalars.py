@@ -73,11 +73,6 @@ def shift_bounds(text: ColLike) -> tuple[Column, Column]:
     return parse_time_secs(parts.getItem(0)), parse_time_secs(parts.getItem(1))
 
 
-def to_local(ts: ColLike, zone: str) -> Column:
-    """UTC instant -> wall-clock time in ``zone`` (``DATETIME(ts, zone)``)."""
-    return F.from_utc_timestamp(_c(ts), zone)
-
-
 def to_utc(local_ts: ColLike, zone: str) -> Column:
     """Wall-clock time in ``zone`` -> UTC instant (``TIMESTAMP(dt, zone)``)."""
     return F.to_utc_timestamp(_c(local_ts), zone)

@@ -8,7 +8,6 @@ cardinality of a categorical column and are checked against ``max_levels``.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Model
@@ -220,25 +219,6 @@ def rare_flag_plan(df: DataFrame, flags: Sequence[str], min_ones: int = 20) -> D
                         .when(F.col("n_ones") < min_ones, "merge").otherwise("keep"))
 
 
-def merge_rare_flags(df: DataFrame, plan: DataFrame, name: str = "any_rare_flag") -> DataFrame:
-    """I15 apply: OR of the 'merge' flags into ``name``; merged and dropped flags removed."""
-    rows = plan.collect()
-    merge = [r["flag"] for r in rows if r["action"] == "merge"]
-    drop = [r["flag"] for r in rows if r["action"] in ("merge", "drop")]
-    out = df.withColumn(name, F.greatest(*[F.col(f) for f in merge], F.lit(0)) if merge else F.lit(0))
-    return out.drop(*drop)
-
-
-def row_total(cols: Sequence[str]) -> Column:
-    """I16: row-wise sum of columns (NULL as 0)."""
-    return sum((F.coalesce(F.col(c), F.lit(0)) for c in cols), F.lit(0))
-
-
-def row_count_positive(cols: Sequence[str]) -> Column:
-    """I16: number of columns > 0 on the row."""
-    return sum(((F.col(c) > 0).cast("int") for c in cols), F.lit(0))
-
-
 def squared(df: DataFrame, cols: Sequence[str], suffix: str = "_sq") -> DataFrame:
     """Squared terms."""
     return df.withColumns({f"{c}{suffix}": F.pow(F.col(c), 2) for c in cols})
@@ -301,11 +281,3 @@ def ratio_sample(df: DataFrame, label: str, key: Sequence[str], ratio: float = 3
         neg = neg.withColumn("__np", F.lit(pos.count()))
     neg = neg.filter(F.col("__r") <= F.coalesce(F.col("__np"), F.lit(0)) * ratio)
     return pos.unionByName(neg.select(*df.columns))
-
-
-def safe_log(x: Column) -> Column:
-    return F.when(x > 0, F.log(x))
-
-
-def entropy_bits(p: float) -> float:
-    return 0.0 if p <= 0 or p >= 1 else -(p * math.log2(p) + (1 - p) * math.log2(1 - p))

@@ -49,15 +49,6 @@ def missing_profile(df: DataFrame, cols: Sequence[str] | None = None, places: in
     return _long(one, cols, ["n_missing", "pct_missing"])
 
 
-def binary_columns(df: DataFrame, cols: Sequence[str] | None = None) -> list[str]:
-    """Numeric columns whose non-null values are all 0 or 1 (one pass)."""
-    cols = list(cols or numeric_columns(df))
-    if not cols:
-        return []
-    r = df.agg(*[F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(0, 1)).alias(c) for c in cols]).first()
-    return [c for c in cols if r[c] == 0]
-
-
 def binary_prevalence(df: DataFrame, cols: Sequence[str], places: int = 4) -> DataFrame:
     """Mean, share in % and count of ones of 0/1 columns."""
     one = df.agg(*[e for c in cols for e in (
@@ -185,25 +176,6 @@ def assert_parts_sum(df: DataFrame, parts: Sequence[str], total: str) -> None:
     check_parts_sum(df, parts, total)
 
 
-def keep_existing(df: DataFrame, wanted: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Select the wanted columns that exist; return the missing ones."""
-    have = [c for c in wanted if c in df.columns]
-    return df.select(*have), [c for c in wanted if c not in df.columns]
-
-
-def columns_by_affix(df: DataFrame, prefix: str = "", suffix: str = "") -> list[str]:
-    """Column names with a given prefix and / or suffix."""
-    return [c for c in df.columns if c.startswith(prefix) and c.endswith(suffix)]
-
-
-def drop_high_null(df: DataFrame, threshold: float = 0.9) -> DataFrame:
-    """Drop columns whose null share is >= ``threshold`` (one pass)."""
-    r = df.agg(F.count(F.lit(1)).alias("__n"),
-               *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]).first()
-    n = r["__n"] or 1
-    return df.drop(*[c for c in df.columns if r[c] / n >= threshold])
-
-
 def null_share_among(df: DataFrame, cond: Column, cols: Sequence[str]) -> DataFrame:
     """Missing profile restricted to rows matching ``cond`` (e.g. positives)."""
     return missing_profile(df.filter(cond), cols)

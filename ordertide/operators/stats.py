@@ -126,12 +126,6 @@ def pca_variance(model, spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "component int, explained_variance double, cumulative_variance double")
 
 
-def components_for(model, levels: Sequence[float] = (0.5, 0.8, 0.9, 0.95, 0.99)) -> dict[float, int]:
-    """Smallest number of components reaching each cumulative level."""
-    cum = np.cumsum(model.stages[-1].explainedVariance.toArray())
-    return {lv: int(np.searchsorted(cum, lv - 1e-12) + 1) for lv in levels}
-
-
 def pca_scores(model, df: DataFrame, keep: Sequence[str], prefix: str = "multicollinearity_PC") -> DataFrame:
     """Apply the fitted PCA; components as columns ``{prefix}{i}``."""
     k = model.stages[-1].getK()

@@ -35,19 +35,21 @@ def delivery_summary(per_delivery: DataFrame, group_by: Sequence[str] = (),
     return per_delivery.groupBy(*group_by).agg(*aggs) if group_by else per_delivery.agg(*aggs)
 
 
-def distinct_key_counts(df: DataFrame, counts: dict[str, tuple[Sequence[str], Column | None]],
-                        extra: Sequence[Column] = ()) -> DataFrame:
-    """KPI distinct counts (D31): ``name -> (key columns, optional filter)``.
+def nested_key_counts(df: DataFrame, order: Sequence[str], delivery: str, line: str, affected: Column, value: Column) -> DataFrame:
+    """KPI distinct counts (D31): orders, deliveries, affected deliveries and affected lines, and
+    the affected value (one row).
 
-    ``SELECT DISTINCT a, b`` keeps NULL keys as a value, so each key set is
-    counted through ``count(DISTINCT struct(...))`` (a struct is never NULL).
-    All counts (and the ``extra`` aggregates) come out of one aggregation pass.
-    """
-    aggs = []
-    for name, (keys, cond) in counts.items():
-        k = F.struct(*[F.col(c) for c in keys])
-        aggs.append(F.count_distinct(k if cond is None else F.when(cond, k)).alias(name))
-    return df.agg(*aggs, *extra)
+    Rows are aggregated once to (order, delivery, line); every count is taken on that
+    smaller table, grain by grain, instead of expanding each row once per distinct
+    count.  Null keys are values, as in ``SELECT DISTINCT``."""
+    fine = df.groupBy(*order, delivery, line).agg(F.max(affected.cast("int")).alias("hit"), F.sum(F.when(affected, value)).alias("value"))
+    one = lambda d, *e: d.agg(*e).withColumn("__one", F.lit(1))
+    per_delivery = fine.groupBy(*order, delivery).agg(F.max("hit").alias("hit"), F.sum("value").alias("value"))
+    per_order = per_delivery.groupBy(*order).agg(F.count(F.lit(1)).alias("n"), F.sum("hit").alias("hit"), F.sum("value").alias("value"))
+    top = one(per_order, F.count(F.lit(1)).alias("n_orders"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_deliveries"),
+              F.coalesce(F.sum("hit"), F.lit(0)).alias("n_affected_deliveries"), F.sum("value").cast("double").alias("affected_value"))
+    lines = one(fine.filter("hit = 1").groupBy(*order, line).agg(F.lit(1).alias("x")), F.count(F.lit(1)).alias("n_affected_lines"))
+    return top.join(lines, "__one").drop("__one")
 
 
 def cancellation_by_delivery(lines: DataFrame, delivery_keys: Sequence[str], line_key: str,

@@ -102,14 +102,19 @@ def key_metrics(rollup: DataFrame) -> DataFrame:
         F.round(F.avg("first_success_attempt"), 4).alias("mean_attempts_to_success"),
         F.round(F.try_divide(100.0 * F.count_if(F.col("first_success_attempt") > 1), ever), 4)
         .alias("later_attempt_success_pct"),
+        F.round(100.0 * F.sum("never_successful") / n, 4).alias("never_successful_pct"),
+        # of the deliveries whose first attempt failed, those with a later success
+        F.round(F.try_divide(100.0 * F.count_if((F.col("first_attempt_success") == 0) & (F.col("ever_successful") == 1)),
+                             F.count_if(F.col("first_attempt_success") == 0)), 4).alias("recovery_after_first_failure_pct"),
     )
     return one.unpivot([], one.columns, "metric", "value")
 
 
-def flag_consistency(a: DataFrame, delivery: Sequence[str], flag: str = "ever_successful") -> DataFrame:
-    """Number of distinct flag values per delivery (more than 1 = inconsistent)."""
-    return (a.groupBy(*delivery).agg(F.count_distinct(flag).alias("n_flag_values"))
-            .withColumn("consistent", (F.col("n_flag_values") <= 1).cast("int")))
+def flag_consistency(a: DataFrame, delivery: Sequence[str], flags: Sequence[str]) -> DataFrame:
+    """Per delivery the distinct values of flags that its rows carry, and whether each flag
+    has but one (flags that are recorded per row; a flag derived per delivery can't differ)."""
+    per = a.groupBy(*delivery).agg(*[F.count_distinct(f).alias(f"n_{f}") for f in flags])
+    return per.withColumn("consistent", F.least(*[(F.col(f"n_{f}") <= 1).cast("int") for f in flags], F.lit(1)))
 
 
 def check_parts_sum(df: DataFrame, parts: Sequence[str], total: str) -> None:
