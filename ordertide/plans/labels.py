@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordertide.operators.relational import interval_join, latest_per_key
+from ordertide.operators.relational import asof_join, latest_per_key
 from ordertide.fixed import (STAGE_FULFILMENT, STAGE_ORDER_PROCESSING, STATUS_ALLOCATED, STATUS_CREATED,
                              STATUS_SENT)
 
@@ -28,26 +28,26 @@ def overridden_stage(stage: Column, occurrence: Column) -> Column:
 def label_status_intervals(statuses: DataFrame, events: DataFrame, flag_events: DataFrame,
                            by: Sequence[str], status: str, start: str, end: str, event_ts: str,
                            event_cols: Sequence[str], flag_name: str, occurrence: str,
-                           bucket_days: int = 1) -> DataFrame:
+                           bucket: str = "7 days") -> DataFrame:
     """Attach to each status interval ``[start, end)`` its first event and a
     flag telling whether any ``flag_events`` fell inside it.
 
-    Intervals of one key tile the time axis, so every event lands in at most
-    one interval: an inner bucketed interval join, a top-1 per interval and an
-    equi left join back on the interval key give the same rows as the
-    warehouse's fan-out join followed by a ROW_NUMBER dedup, without the
-    fan-out.
+    Intervals of one key tile the time axis, so an event can only lie in the interval
+    that began last before it: an as-of lookup (split by ``bucket`` of time) and a check
+    of the end find it, a top-1 per interval the first event, and an equi left join
+    brings both back.  No range join, no fan-out, no job while the plan is built.
     """
     by = list(by)
     ikey = [*by, status, start]
-    ev = events.select(*by, event_ts, *event_cols)
-    m = interval_join(ev, statuses.select(*ikey, end), by, event_ts, start, end,
-                      closed="left", bucket_days=bucket_days)
-    first = latest_per_key(m, ikey, [F.asc(event_ts)]).select(*ikey, event_ts, *event_cols)
-    fl = flag_events.select(*by, F.col(event_ts).alias("__fts"))
-    hit = (interval_join(fl, statuses.select(*ikey, end), by, "__fts", start, end,
-                         closed="left", bucket_days=bucket_days)
-           .select(*ikey).distinct().withColumn(flag_name, F.lit(1)))
+    spans = statuses.select(*ikey, end)
+
+    def inside(events: DataFrame, ts: str) -> DataFrame:
+        found = asof_join(events, spans, by, ts, start, [status, start, end], bucket=bucket)
+        return found.filter(F.col(ts) < F.col(end))
+
+    first = latest_per_key(inside(events.select(*by, event_ts, *event_cols), event_ts), ikey, [F.asc(event_ts)]).select(
+        *ikey, event_ts, *event_cols)
+    hit = inside(flag_events.select(*by, event_ts), event_ts).select(*ikey).distinct().withColumn(flag_name, F.lit(1))
     out = (statuses.join(first, ikey, "left").join(hit, ikey, "left")
            .withColumn(flag_name, F.coalesce(F.col(flag_name), F.lit(0))))
     out = out.withColumn("order_stage_statuses", status_stage(F.col(status)))
