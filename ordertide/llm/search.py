@@ -33,6 +33,7 @@ WAVE_POSTINGS = 1 << 21                   # postings that a task ranks its strat
 WAVE_CELLS = 1 << 22                      # and cells of their bounds by term and item
 BLOCK_TERMS = 1 << 17                     # item terms that are searched together
 KNOWN_TERMS = 1 << 17                     # most terms that restrict an index
+KNOWN_NORMALISERS = 1 << 16               # most normalisers that every task is told
 _ROWS = "n long, chunk long, term string, tf int, keys array<long>, ids array<long>"
 _SPLIT = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 
@@ -104,7 +105,9 @@ def build_index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     # as 64-bit integers would give, in decimals so that no product overflows
     wide = f"cast(90 * n AS decimal(20, 0)) * cast({n_docs} AS decimal(18, 0))"
     rows = rows.withColumn("m", F.expr(f"10 + cast(({wide}) div {max(n_terms, 1)} AS long)"))
-    parts = rows.groupBy("m").agg(F.ceil(F.sum(F.size("keys")) / PART_POSTINGS).alias("parts"))
+    parts = written(rows.groupBy("m").agg(F.ceil(F.sum(F.size("keys")) / PART_POSTINGS).alias("parts")), "search-parts")
+    # one row per normaliser: few, and then the postings need no exchange by a frequent one
+    parts = F.broadcast(parts) if parts.count() <= KNOWN_NORMALISERS else parts
     rows = rows.join(parts, "m").withColumn("part", F.pmod(F.xxhash64("chunk"), "parts"))
     strata = rows.groupBy("m", "part").agg(F.collect_list(F.struct("term", "tf", "keys", "ids")).alias("entries"))
     return Index(written(strata, "search-strata"), frequency, n_docs, n_terms)
