@@ -10,14 +10,13 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordertide.llm.common import map_arrow, Memo, space_segments, text_bytes
+from ordertide.llm.common import map_arrow, Memo, space_segments, text_bytes, worker_state
 
 BATCH_BYTES = 1 << 20
 PIECE_CHARS = 1 << 16
@@ -42,7 +41,6 @@ def _cut(text: str) -> list[str]:
     return [*out, text[start:]]
 
 
-@lru_cache(maxsize=4)
 def _encoder(path: str):
     """(lengths of a list of texts, whether long texts may be cut)."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -59,26 +57,36 @@ def _encoder(path: str):
 
 
 _ROWS = 4_000  # texts taken together
-_memo: dict[str, Memo] = {}
 
 
-def _encode_all(new: list[str], path: str) -> list[int]:
-    encode, out, start, held = _encoder(path)[0], [], 0, 0
-    for i, p in enumerate(new):
-        held += len(p)
-        if held >= BATCH_BYTES or i + 1 == len(new):
-            out += encode(new[start:i + 1])
-            start, held = i + 1, 0
-    return out
+class Counter:
+    """Encoder and memo of one worker process."""
+
+    def __init__(self, path: str):
+        self.encode, self.cut = _encoder(path)
+        self.memo = Memo(MEMO)
+
+    def encode_all(self, new: list[str]) -> list[int]:
+        out, start, held = [], 0, 0
+        for i, p in enumerate(new):
+            held += len(p.encode())
+            if held >= BATCH_BYTES or i + 1 == len(new):
+                out += self.encode(new[start:i + 1])
+                start, held = i + 1, 0
+        return out
+
+    def lengths(self, texts: list[str]) -> np.ndarray:
+        """Token count of each text; pieces not met before are encoded in batches of about ``BATCH_BYTES``."""
+        if not self.cut:
+            return np.array(self.encode_all(texts), np.int64)
+        split = [pieces(t) for t in texts]
+        of = self.memo.known((p for x in split for p in x), self.encode_all)
+        return np.array([sum([of[p] for p in x]) for x in split], np.int64)
 
 
 def lengths(texts: list[str], path: str) -> np.ndarray:
-    """Token count of each text; pieces not met before are encoded in batches of about ``BATCH_BYTES``."""
-    if not _encoder(path)[1]:
-        return np.array(_encode_all(texts, path), np.int64)
-    split = [pieces(t) for t in texts]
-    of = _memo.setdefault(path, Memo(MEMO)).known((p for x in split for p in x), lambda new: _encode_all(new, path))
-    return np.array([sum([of[p] for p in x]) for x in split], np.int64)
+    """Token count of each text."""
+    return worker_state(("token counts", path), lambda: Counter(path)).lengths(texts)
 
 
 def token_counts(df: DataFrame, vocab: str, id_col: str = "doc_id", text_col: str = "text",
@@ -101,4 +109,4 @@ def token_counts(df: DataFrame, vocab: str, id_col: str = "doc_id", text_col: st
 
     src = df.select(F.col(id_col).alias("id"), text_bytes(F.col(text_col)).alias("text"))
     kind = src.schema["id"].dataType.simpleString()
-    return map_arrow(src, run, f"id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return map_arrow(src, run, f"id {kind}, n_bytes long, n_tokens long, over_limit boolean", keeps=True)
