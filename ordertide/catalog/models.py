@@ -187,9 +187,19 @@ def anova_f(spark, sf):
     return a.withColumn("f_score", F.round("f_score", 6))
 
 
-@query("binned_mi")
+@query("binned_mi", oracle="WITH " + _SQL_FEATURES + """,
+x AS (""" + " UNION ALL ".join(f"SELECT doc_id, quality AS y, '{c}' AS feature, {c} AS v FROM f" for c in FEATURES) + """),
+cut AS (SELECT DISTINCT feature, unnest(quantile_cont(v, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS edge FROM x GROUP BY feature),
+b AS (SELECT x.feature, x.doc_id, x.y, count(cut.edge) AS bin FROM x LEFT JOIN cut ON cut.feature = x.feature AND x.v > cut.edge
+      GROUP BY x.feature, x.doc_id, x.y),
+cell AS (SELECT feature, bin, y, CAST(count(*) AS DOUBLE) AS k FROM b GROUP BY feature, bin, y),
+part AS (SELECT *, sum(k) OVER (PARTITION BY feature) AS t, sum(k) OVER (PARTITION BY feature, bin) AS kb, sum(k) OVER (PARTITION BY feature, y) AS ky FROM cell)
+SELECT feature, round(sum(k / t * ln(k * t / (kb * ky))), 6) AS mutual_info FROM part GROUP BY feature
+""")
 def binned_mi(spark, sf):
-    return S.binned_mutual_info(doc_features(spark, sf), "quality", FEATURES)
+    """Mutual information (nats) of decile bins and the label."""
+    out = S.binned_mutual_info(doc_features(spark, sf), "quality", FEATURES)
+    return out.withColumn("mutual_info", F.round("mutual_info", 6))
 
 
 @query("consensus_rank")

@@ -285,13 +285,21 @@ def time_split(spark, sf):
     return X.time_split(o, "o_orderdate", ["o_orderkey"], 0.8)
 
 
-@query("hash_sample")
+_SQL_HASH = "CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 15) AS BIGINT)"
+
+
+@query("hash_sample", oracle=f"SELECT o_orderkey, o_orderstatus FROM orders WHERE {_SQL_HASH} % 10 = 0")
 def hash_sample(spark, sf):
-    """10 % hash sample by order key (hash differs from other engines: rows only)."""
+    """10 % hash sample by order key."""
     return X.hash_sample(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), ["o_orderkey"])
 
 
-@query("ratio_sample")
+@query("ratio_sample", oracle=f"""
+WITH o AS (SELECT o_orderkey, o_orderpriority, CAST(o_orderstatus = 'F' AS INT) AS label, {_SQL_HASH} AS h FROM orders),
+n AS (SELECT *, (SELECT count(*) FROM o p WHERE p.label = 1 AND p.o_orderpriority = o.o_orderpriority) AS n_pos,
+             count(*) OVER (PARTITION BY o_orderpriority, label ORDER BY h, o_orderkey ROWS UNBOUNDED PRECEDING) AS k FROM o)
+SELECT o_orderkey, o_orderpriority, label FROM n WHERE label = 1 OR k <= 3 * n_pos
+""")
 def ratio_sample(spark, sf):
     """Positives (status 'F') plus three times as many negatives, per priority."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority",

@@ -261,9 +261,15 @@ def time_split(df: DataFrame, ts: str, key: Sequence[str], train_share: float =
     return r.withColumn(name, F.when(F.col("__rank") <= cut, "train").otherwise("test")).drop("__rank")
 
 
+def key_hash(key: Sequence[str]) -> Column:
+    """A whole number below 2^60 from the MD5 of the key's text, the same in every engine."""
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in key])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
+
+
 def hash_sample(df: DataFrame, key: Sequence[str], buckets: int = 10, keep: int = 0) -> DataFrame:
     """Deterministic sample, rows whose key hashes into bucket ``keep``."""
-    return df.filter(F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(buckets)) == keep)
+    return df.filter(F.pmod(key_hash(key), F.lit(buckets)) == keep)
 
 
 def ratio_sample(df: DataFrame, label: str, key: Sequence[str], ratio: float = 3.0,
@@ -272,9 +278,8 @@ def ratio_sample(df: DataFrame, label: str, key: Sequence[str], ratio: float = 3
     negatives taken in hash order of the key (exact, no global sort)."""
     strata = list(strata)
     pos = df.filter(F.col(label) == 1)
-    h = F.xxhash64(*[F.col(k) for k in key])
-    neg = df.filter(F.col(label) == 0).withColumn("__h", h)
-    neg = rank_by_buckets(neg, F.shiftright("__h", 48), ["__h", *key], strata, "__r")
+    neg = df.filter(F.col(label) == 0).withColumn("__h", key_hash(key))
+    neg = rank_by_buckets(neg, F.shiftright("__h", 44), ["__h", *key], strata, "__r")
     if strata:   # positives per stratum: one row per stratum
         neg = neg.join(pos.groupBy(*strata).agg(F.count(F.lit(1)).alias("__np")), strata, "left")
     else:        # one scalar

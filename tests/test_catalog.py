@@ -17,9 +17,7 @@ QUERIES = E.queries()
 ORACLES = E.oracle_sql()
 # fitted level lists (hence output columns) depend on the data size
 AT_SF001 = {"hybrid_encode"}
-SLOW = {"consensus_rank", "cv_search", "logit_stepwise", "logit_margins", "logit_margins_shortcut",
-        "logit_table", "logit_stats", "pca_model", "gbt_weighted", "regression_study",
-        "multicollinearity_reduction", "classifier_study"}
+SLOW = {"cv_search", "classifier_study", "balanced_forest"}      # hundreds of trees; their parts: test_models.py
 
 
 def test_every_oracle_has_a_query():
