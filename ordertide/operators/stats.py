@@ -319,11 +319,11 @@ def binned_mutual_info(df: DataFrame, target: str, cols: Sequence[str], bins: in
     from pyspark.sql import Window
     wf = Window.partitionBy("feature")
     c2 = cnt.withColumns({
-        "N": F.sum("n").over(wf),
+        "total": F.sum("n").over(wf),          # column names differ in more than case
         "nb": F.sum("n").over(Window.partitionBy("feature", "bin")),
         "ny": F.sum("n").over(Window.partitionBy("feature", "y")),
     })
-    term = (F.col("n") / F.col("N")) * F.log(F.col("n") * F.col("N") / (F.col("nb") * F.col("ny")))
+    term = (F.col("n") / F.col("total")) * F.log(F.col("n") * F.col("total") / (F.col("nb") * F.col("ny")))
     return c2.groupBy("feature").agg(F.sum(term).alias("mutual_info"))
 
 
