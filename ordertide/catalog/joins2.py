@@ -67,13 +67,10 @@ def scd_valid_at(spark, sf):
     """C21j variant: the level valid at the event date (as-of on change_date)."""
     sl, ev = _sl_events(spark, sf)
     return valid_at(ev, sl.select("ship_node", "item_id", "change_date", "to_SL"), ["ship_node", "item_id"],
-                    "event_date", "change_date", ["to_SL", "change_date"])
+                    "event_date", "change_date", ["to_SL", "change_date"], bucket="30 days")
 
 
-# the K3 oracle with its final UNION ALL turned into a CTE named sl
-_SQL_SL = ORACLES["change_string_parse"].rstrip().replace(
-    "\nSELECT * FROM tab2 UNION ALL SELECT * FROM tab3",
-    ",\nsl AS (SELECT * FROM tab2 UNION ALL SELECT * FROM tab3")
+_SQL_SL = f"WITH sl AS ({ORACLES['change_string_parse']}"
 ORACLES["scd_fanout_join"] = _SQL_SL.rstrip() + """),
 ev AS (SELECT event_id, CAST(event_id AS VARCHAR) AS item_id,
               upper(event_type) || '.' || lpad(CAST(user_id AS VARCHAR), 3, '0') AS ship_node,

@@ -104,6 +104,22 @@ def pca_variance(spark, sf):
     return S.pca_variance(S.fit_pca(e, cols), spark)
 
 
+@query("pca_levels")
+def pca_levels(spark, sf):
+    """Components needed per level of explained variance, and the reduction."""
+    e, cols = _embedding_cols(spark, sf)
+    return S.pca_levels(S.fit_pca(e, cols), len(cols), spark)
+
+
+@query("replaced_features")
+def replaced_features(spark, sf):
+    """The variables that components replace, with their VIF."""
+    from ordertide.plans.studies import multicollinearity_reduction as reduce_
+    d = doc_features(spark, sf, labelled=False)
+    train, test = d.filter(F.col("doc_id") % 5 != 0), d.filter(F.col("doc_id") % 5 == 0)
+    return reduce_(train, test, ["doc_id"], FEATURES, threshold=10.0)[3]
+
+
 @query("pca_scores")
 def pca_scores(spark, sf):
     """J9 + J10: fit on the train split (by vec_id), apply to all rows, 4 components."""
@@ -227,7 +243,7 @@ def multicollinearity_reduction(spark, sf):
     from ordertide.plans.studies import multicollinearity_reduction as reduce_
     d = doc_features(spark, sf, labelled=False).withColumn("__t", F.timestamp_seconds("doc_id"))
     d = time_split(d, "__t", ["doc_id"], 0.8)
-    _, _, comparison = reduce_(d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test"),
+    _, _, comparison, _ = reduce_(d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test"),
                                ["doc_id", "quality"], FEATURES, threshold=10.0)
     return comparison
 

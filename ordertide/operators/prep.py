@@ -250,15 +250,27 @@ def rank_by_buckets(df: DataFrame, bucket: Column, order: Sequence[str],
 
 def time_split(df: DataFrame, ts: str, key: Sequence[str], train_share: float = 0.8,
                name: str = "split") -> DataFrame:
-    """The first ``int(share * n)`` rows by (ts, key) are 'train'.
+    """The first ``int(share * n)`` rows by (ts, key) are 'train'; ``key`` must tell rows
+    of one time apart.  Rows without a time are the first.
 
-    Ranked with ``rank_by_buckets`` on the minute of ``ts``: exact, and
-    without a global sort.
+    Rows are counted per minute (one row per minute: the count of any span), and only
+    the minute that holds the cut is put in order, down to the cut, to find the last
+    training row.  The split itself is a comparison with that row: no row is moved,
+    however many share a time.
     """
-    cut = int(train_share * df.count())
-    minute = F.floor(F.unix_timestamp(ts) / 60)
-    r = rank_by_buckets(df, minute, [ts, *key])
-    return r.withColumn(name, F.when(F.col("__rank") <= cut, "train").otherwise("test")).drop("__rank")
+    minute = F.coalesce(F.floor(F.unix_timestamp(ts) / 60), F.lit(-(1 << 40)))
+    per = df.groupBy(minute.alias("m")).agg(F.count(F.lit(1)).alias("n"))
+    upto = per.select("m", "n", F.sum("n").over(Window.orderBy("m")).alias("upto"), F.sum("n").over(Window.partitionBy()).alias("all"))
+    cut = F.floor(F.lit(float(train_share)) * F.col("all"))
+    at = upto.filter((F.col("upto") >= cut) & (F.col("upto") - F.col("n") < cut)).select("m", (cut - (F.col("upto") - F.col("n"))).alias("r")).first()
+    if at is None:                                  # no training rows at all
+        return df.withColumn(name, F.lit("test"))
+    order = [F.asc_nulls_first(ts), *[F.asc_nulls_first(k) for k in key]]
+    place = lambda: F.struct(F.col(ts), *[F.col(k) for k in key])
+    last = df.filter(minute == at["m"]).orderBy(*order).limit(int(at["r"])).agg(F.max(place()).alias("__x"))
+    one = F.lit(1).alias("__one")                                                 # a table of one row
+    return df.select("*", one).join(F.broadcast(last.select("*", one)), "__one").withColumn(
+        name, F.when(place() <= F.col("__x"), "train").otherwise("test")).drop("__x", "__one")
 
 
 def key_hash(key: Sequence[str]) -> Column:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ColLike = str | Column
+AUTO_BUCKET = "30 days"
 
 
 def _c(x: ColLike) -> Column:
@@ -79,7 +80,7 @@ def smallest_measure_per_key(df: DataFrame, keys: Sequence[str], measure: str,
 # ---------------------------------------------------------------------------
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str,
-              right_ts: str, cols: Sequence[str], bucket: str | float | None = None,
+              right_ts: str, cols: Sequence[str], bucket: str | float | None = "auto",
               prefix: str = "") -> DataFrame:
     """Attach to each left row the latest right row with ``right_ts <= left_ts``.
 
@@ -96,9 +97,13 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
     (bucket width) for a numeric ordering value; the value carried into each
     bucket is the last right row of the earlier buckets of the key, taken
     from a small (key, bucket) table.  Keys with few distinct values (or one
-    hot key) are thereby spread over many tasks.
+    hot key) are thereby spread over many tasks.  By default times are split into
+    ``AUTO_BUCKET``; None keeps a key together.
     """
     by = list(by)
+    if bucket == "auto":
+        timed = isinstance(left.schema[left_ts].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
+        bucket = AUTO_BUCKET if timed else None
     payload = F.struct(*[F.col(c).alias(c) for c in cols])
     # a right row without a timestamp can never be "at or before" anything
     r = right.filter(F.col(right_ts).isNotNull()).select(
@@ -151,9 +156,9 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
 
 
 def valid_at(left: DataFrame, changes: DataFrame, by: Sequence[str], left_ts: str,
-             change_ts: str, cols: Sequence[str], prefix: str = "") -> DataFrame:
+             change_ts: str, cols: Sequence[str], prefix: str = "", bucket: str | float | None = "auto") -> DataFrame:
     """Value of a change-logged attribute valid at ``left_ts`` (C21j variant)."""
-    return asof_join(left, changes, by, left_ts, change_ts, cols, prefix=prefix)
+    return asof_join(left, changes, by, left_ts, change_ts, cols, bucket=bucket, prefix=prefix)
 
 
 # ---------------------------------------------------------------------------
@@ -226,11 +231,23 @@ def last_event_time(df: DataFrame, by: Sequence[str], ts: str, flag: ColLike,
 
 
 def close_intervals(df: DataFrame, by: Sequence[str], ts: str, end_name: str,
-                    open_end: ColLike | None = None) -> DataFrame:
-    """Add ``end_name`` = next ``ts`` of the key, or ``open_end`` for the last row."""
-    w = Window.partitionBy(*by).orderBy(ts)
-    nxt = F.lead(ts).over(w)
-    return df.withColumn(end_name, nxt if open_end is None else F.coalesce(nxt, _c(open_end)))
+                    open_end: ColLike | None = None, block: Column | None = None) -> DataFrame:
+    """Add ``end_name`` = next ``ts`` of the key, or ``open_end`` for the last row.
+
+    Rows are split by key and ``block`` of time (30 days by default; it must never fall as
+    ``ts`` rises).  The last row of a block takes the first ``ts`` of the key's next
+    block, from the table with one row per key and block."""
+    by = list(by)
+    block = F.floor(F.unix_timestamp(ts) / F.lit(30 * 86_400)) if block is None else block
+    rows = df.withColumns({"__b": block, "__last": F.lit(0)})
+    per_block = Window.partitionBy(*by).orderBy("__b")
+    firsts = rows.groupBy(*by, "__b").agg(F.min(ts).alias("__first"))
+    ends = firsts.select(*by, "__b", F.lead("__first").over(per_block).alias("__then"), F.lit(1).alias("__last"))
+    w = Window.partitionBy(*by, "__b").orderBy("__last", ts)
+    nxt = F.lead(F.coalesce(F.col(ts), F.col("__then"))).over(w)
+    out = rows.unionByName(ends, allowMissingColumns=True)
+    out = out.withColumn(end_name, nxt if open_end is None else F.coalesce(nxt, _c(open_end)))
+    return out.filter("__last = 0").drop("__b", "__last", "__then")
 
 
 # ---------------------------------------------------------------------------

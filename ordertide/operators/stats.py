@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.ml import Pipeline
@@ -26,6 +27,16 @@ from ordertide.operators.gram import Moments, moments
 from ordertide.operators.quantiles import quantile_rows
 
 
+@contextmanager
+def kept(df: DataFrame):
+    """``df`` persisted while something rescans it."""
+    d = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield d
+    finally:
+        d.unpersist()
+
+
 # ---------------------------------------------------------------------------
 # VIF from the moment matrix
 # ---------------------------------------------------------------------------
@@ -126,6 +137,15 @@ def pca_variance(model, spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "component int, explained_variance double, cumulative_variance double")
 
 
+def pca_levels(model, n_features: int, spark: SparkSession, levels: Sequence[float] = (0.5, 0.8, 0.9, 0.95, 0.99)) -> DataFrame:
+    """Per level of explained variance the fewest components that reach it, and by how much
+    (%) they are fewer than the features."""
+    cum = np.cumsum(model.stages[-1].explainedVariance.toArray())
+    need = [int(np.searchsorted(cum, lv - 1e-12) + 1) for lv in levels]
+    return spark.createDataFrame([(float(lv), k, round(100.0 * (1 - k / n_features), 4)) for lv, k in zip(levels, need)],
+                                 "variance_level double, components int, reduction_pct double")
+
+
 def pca_scores(model, df: DataFrame, keep: Sequence[str], prefix: str = "multicollinearity_PC") -> DataFrame:
     """Apply the fitted PCA; components as columns ``{prefix}{i}``."""
     k = model.stages[-1].getK()
@@ -179,10 +199,10 @@ def chi2_sf(x: float, k: int) -> float:
 def fit_logit(df: DataFrame, target: str, cols: Sequence[str], max_iter: int = 100):
     """Binomial GLM with logit link and intercept (IRLS in MLlib)."""
     d = VectorAssembler(inputCols=list(cols), outputCol="__x", handleInvalid="skip").transform(df)
-    d = d.persist(StorageLevel.MEMORY_AND_DISK)   # IRLS rescans the input every iteration
     glm = GeneralizedLinearRegression(family="binomial", link="logit", featuresCol="__x", labelCol=target,
                                       maxIter=max_iter, fitIntercept=True)
-    return glm.fit(d), d
+    with kept(d) as d:                            # IRLS rescans the input every iteration
+        return glm.fit(d), d
 
 
 def logit_table(model, cols: Sequence[str], spark: SparkSession) -> DataFrame:
@@ -359,10 +379,10 @@ def rfe(df: DataFrame, target: str, cols: Sequence[str], n_keep: int, step: int
 def l1_selection(df: DataFrame, target: str, cols: Sequence[str], c: float = 0.1) -> DataFrame:
     """L1 logistic regression, C -> regParam = 1 / (C n); non-zero coefficients."""
     x = VectorAssembler(inputCols=list(cols), outputCol="__x", handleInvalid="skip").transform(df)
-    x = x.persist(StorageLevel.MEMORY_AND_DISK)   # L-BFGS / OWL-QN rescans the input
-    n = x.count()
-    m = LogisticRegression(featuresCol="__x", labelCol=target, elasticNetParam=1.0, regParam=1.0 / (c * n),
-                           standardization=False, maxIter=200).fit(x)
+    with kept(x) as x:                            # L-BFGS / OWL-QN rescans the input
+        n = x.count()
+        m = LogisticRegression(featuresCol="__x", labelCol=target, elasticNetParam=1.0, regParam=1.0 / (c * n),
+                               standardization=False, maxIter=200).fit(x)
     coef = m.coefficients.toArray()
     return df.sparkSession.createDataFrame([(f, float(v), bool(v != 0)) for f, v in zip(cols, coef)],
                                            "feature string, coef double, selected boolean")

@@ -21,7 +21,11 @@ def regression_study(df: DataFrame, target: str, groups: Sequence[Sequence[str]]
     """Profile -> VIF -> stepwise logits -> final model with odds ratios
     and marginal effects joined on the term name (C25j)."""
     spark = df.sparkSession
-    d = df.persist(StorageLevel.MEMORY_AND_DISK)
+    with S.kept(df) as d:
+        return _regression_tables(d, target, groups, final, spark)
+
+
+def _regression_tables(d: DataFrame, target: str, groups, final, spark) -> dict[str, DataFrame]:
     feats = sorted({c for g in groups for c in g} | set(final))
     model, _ = S.fit_logit(d, target, list(final))
     coef = S.logit_table(model, list(final), spark)
@@ -42,7 +46,8 @@ def multicollinearity_reduction(train: DataFrame, test: DataFrame, keys: Sequenc
                                 threshold: float = 10.0, intercept: bool = True):
     """K15 (J5 + J6): keep features with VIF <= threshold, replace the rest by
     their principal components (fitted on train, applied to both), recompute
-    VIF, and compare before / after.  Returns (train, test, comparison)."""
+    VIF, and compare before / after, by kind of variable.  Returns (train, test,
+    comparison, replaced variables)."""
     before = S.vif(train, cols, intercept)
     rows = before.collect()
     low = [r.feature for r in rows if r.vif <= threshold]
@@ -56,21 +61,32 @@ def multicollinearity_reduction(train: DataFrame, test: DataFrame, keys: Sequenc
         tr, te, pcs = train.select(*keep), test.select(*keep), []
     after = S.vif(tr, [*low, *pcs], intercept)
 
-    def summary(v: DataFrame, stage: str) -> DataFrame:
-        return v.agg(F.lit(stage).alias("stage"), F.count(F.lit(1)).alias("n_features"),
+    value = {r.feature: r.vif for r in rows}
+
+    def summary(v: DataFrame, stage: str, kind: str) -> DataFrame:
+        return v.agg(F.lit(stage).alias("stage"), F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n_features"),
                      F.count_if(F.col("vif") > threshold).alias("n_above_threshold"),
                      F.round(F.avg(F.when(F.col("vif") != float("inf"), F.col("vif"))), 6).alias("mean_vif"),
                      F.round(F.max("vif"), 6).alias("max_vif"))
-    comparison = summary(before, "before").unionByName(summary(after, "after"))
-    return tr, te, comparison
+    comparison = summary(before, "before", "all").unionByName(summary(after, "after", "all"))
+    for kind, own in (("kept features", low), ("components", pcs)):
+        comparison = comparison.unionByName(summary(after.filter(F.col("feature").isin(own)), "after", kind))
+    # the variables that components stand for, the worst first
+    span = f"{pcs[0]} to {pcs[-1]}" if pcs else ""
+    replaced = train.sparkSession.createDataFrame(
+        [(f, float(value[f]), span) for f in sorted(high, key=lambda f: -value[f])], "removed_feature string, original_vif double, replaced_by string")
+    return tr, te, comparison, replaced
 
 
 def feature_selection_consensus(df: DataFrame, target: str, cols: Sequence[str], n_keep_rfe: int = 30,
                                 trees: int = 100) -> DataFrame:
     """Six selectors (variance, ANOVA F, binned MI, forest importance,
     RFE, L1) scaled by their maxima, averaged and ranked."""
-    d = df.persist(StorageLevel.MEMORY_AND_DISK)
-    cols = list(cols)
+    with S.kept(df) as d:
+        return S.consensus(_selector_scores(d, target, list(cols), n_keep_rfe, trees))
+
+
+def _selector_scores(d: DataFrame, target: str, cols: list[str], n_keep_rfe: int, trees: int) -> dict[str, DataFrame]:
     scores = {
         "variance": S.variance_filter(d, cols).select("feature", F.col("selected").cast("double").alias("score")),
         "anova": S.anova_f(d, target, cols).select("feature", F.col("f_score").alias("score")),
@@ -81,7 +97,7 @@ def feature_selection_consensus(df: DataFrame, target: str, cols: Sequence[str],
     ranks = S.rfe(d, target, cols, min(n_keep_rfe, len(cols)))
     last = ranks.agg(F.max("rfe_rank")).first()[0]
     scores["rfe"] = ranks.select("feature", (F.lit(last) - F.col("rfe_rank") + 1.0).alias("score"))
-    return S.consensus(scores)
+    return scores
 
 
 def classifier_study(df: DataFrame, label: str, numeric: Sequence[str], categorical: str, ts: str,

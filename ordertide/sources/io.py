@@ -56,9 +56,15 @@ def export_query(spark: SparkSession, query: str | DataFrame, path: str, fmt: st
     Returns the number of rows written (counted while writing).
     """
     df = spark.sql(query) if isinstance(query, str) else query
-    if df.limit(1).count() == 0:
-        return 0
-    return overwrite(df, path, fmt=fmt)
+    n = overwrite(df, f"{path}.staged", fmt=fmt)          # the query runs once
+    where = spark._jvm.org.apache.hadoop.fs.Path
+    fs = where(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if n:
+        fs.delete(where(path), True)
+        fs.rename(where(f"{path}.staged"), where(path))
+    else:
+        fs.delete(where(f"{path}.staged"), True)
+    return n
 
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),

@@ -346,3 +346,25 @@ def test_sweep_of_a_hot_node_has_a_row_a_day(spark):
     got = sweep.lookback_distinct(spine, ev, ["k"], "d", "e", ["key"], "n")
     want = R.lookback_counts(spine, ev, ["k"], "d", "e", {"n": F.count_distinct("key")})
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_time_split_of_one_time_and_of_edges(spark):
+    """A third of all rows share a time, which holds the cut; none and all rows train."""
+    rows = [(i, None if i < 5 else T0 if i % 3 == 0 else T0 + dt.timedelta(seconds=i - 300)) for i in range(600)]
+    df = spark.createDataFrame(rows, "id int, t timestamp_ntz").repartition(4)
+    order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or T0, r[0]))
+    for share in (0.0, 0.004, 0.5, 0.8, 1.0):
+        got = {r.id for r in X.time_split(df, "t", ["id"], share).filter("split = 'train'").collect()}
+        assert got == {r[0] for r in order[:int(share * 600)]}
+    assert X.time_split(df, "t", ["id"], 0.8).columns == ["id", "t", "split"]
+    assert X.time_split(df.limit(0), "t", ["id"], 0.8).count() == 0
+
+
+def test_closed_intervals_over_blocks(spark):
+    rng = random.Random(7)
+    rows = [(None if i % 50 == 0 else rng.choice([1, 1, 2, 3]), T0 + dt.timedelta(hours=rng.randrange(6000), microseconds=i)) for i in range(500)]
+    df = spark.createDataFrame(rows, "k int, t timestamp_ntz")
+    w = Window.partitionBy("k").orderBy("t")
+    want = df.withColumn("e", F.coalesce(F.lead("t").over(w), F.lit("2100-01-01").cast("timestamp_ntz")))
+    got = R.close_intervals(df, ["k"], "t", "e", F.lit("2100-01-01").cast("timestamp_ntz"))
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
