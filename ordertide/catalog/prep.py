@@ -243,6 +243,15 @@ def quality_issues(spark, sf):
     return P.quality_issues(_lines_with_issues(spark, sf), _ISSUE_COLS)
 
 
+@query("inf_to_null", oracle="""
+SELECT l_orderkey, l_linenumber, l_suppkey, nullif(l_discount, 0) AS inf_col, l_quantity AS dup_col FROM lineitem
+""")
+def inf_to_null(spark, sf):
+    """Infinite values become gaps."""
+    out = P.inf_to_null(_lines_with_issues(spark, sf), ["inf_col", "dup_col"])
+    return out.select("l_orderkey", "l_linenumber", "l_suppkey", "inf_col", "dup_col")
+
+
 @query("constant_columns", oracle="""
 SELECT 'const_col' AS column_name, CAST(1 AS BIGINT) AS n_distinct
 UNION ALL SELECT 'all_null_col', CAST(0 AS BIGINT)

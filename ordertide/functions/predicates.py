@@ -22,8 +22,3 @@ def reason_code_filter(reason_ok: Column, date_from_ok: Column, event_from_ok: C
 def not_in(c: Column, values: Sequence) -> Column:
     """SQL ``NOT IN``: NULL input yields NULL (row rejected), like ``IN``."""
     return ~c.isin(list(values))
-
-
-def has_prefix(c: Column, prefix: str) -> Column:
-    """``LEFT(c, n) = prefix`` written so that Parquet can push it down."""
-    return c.startswith(prefix)

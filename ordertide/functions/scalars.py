@@ -87,10 +87,6 @@ def round_half_away(x: ColLike, places: int = 0) -> Column:
     return F.round(_c(x), places)
 
 
-def to_int_half_away(x: ColLike) -> Column:
-    return F.round(_c(x), 0).cast("bigint")
-
-
 def safe_ratio(a: ColLike, b: ColLike, scale: float = 1.0) -> Column:
     """``scale * a / b``; NULL when ``b`` is 0 or NULL (ANSI-safe)."""
     r = F.try_divide(_c(a), _c(b))
@@ -107,11 +103,6 @@ def composite_id(*cols: ColLike, sep: str = "_") -> Column:
     return F.concat_ws(sep, *[_c(c).cast("string") for c in cols])
 
 
-def weekday_name(d: ColLike) -> Column:
-    """English weekday name (``FORMAT_DATE('%A', d)``)."""
-    return F.date_format(_c(d), "EEEE")
-
-
 def level_indicator(c: ColLike, level) -> Column:
     """1 when ``c`` equals ``level`` (NULL-safe, so a NULL level works), else 0."""
     return _c(c).eqNullSafe(F.lit(level)).cast("int")

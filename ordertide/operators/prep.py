@@ -16,6 +16,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ordertide.functions.scalars import level_indicator
 from ordertide.operators.quantiles import exact_quantiles, quantile_rows
 
 MAX_LEVELS = 10_000
@@ -108,7 +109,7 @@ def one_hot(df: DataFrame, col: str, lvls: Sequence, drop_first: bool = True, pr
 def level_indicators(df: DataFrame, col: str, lvls: Sequence, prefix: str) -> DataFrame:
     """I32: one NULL-safe indicator per level, ``None`` included as a level."""
     return df.withColumns({level_name(prefix, "null" if v is None else v):
-                           F.col(col).eqNullSafe(F.lit(v)).cast("int") for v in lvls})
+                           level_indicator(col, v) for v in lvls})
 
 
 def category_counts(df: DataFrame, col: str) -> DataFrame:

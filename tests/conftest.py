@@ -16,7 +16,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 @pytest.fixture(scope="session")
 def spark():
     from ordertide.session import get_session
-    s = get_session("local[4]", shuffle_partitions=4, conf={"spark.driver.memory": "4g"})
+    s = get_session("local[4]", shuffle_partitions=4, conf={
+        "spark.driver.memory": "4g", "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="ordertide-warehouse-")})
     if not s.conf.get("spark.checkpoint.dir", None):
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ordertide-test-ckpt-"))
     yield s

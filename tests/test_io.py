@@ -50,3 +50,25 @@ def test_report_registry_and_text(spark, tmpdir_path):
     assert spark.read.text(txt).count() == 5
     assert io.shape(df) == (5, 2)
     assert io.date_range(spark.read.parquet("/root/testdata/sf0.001/orders.parquet"), "o_orderdate").count() == 1
+
+
+def test_overwrite_table(spark):
+    """The second run replaces the table."""
+    for n in (7, 3):
+        io.overwrite_table(spark.range(n).withColumn("d", F.col("id") % 2), "replaced_rows", partition_by=["d"], cluster_by=["id"])
+        assert io.read_table(spark, "replaced_rows").count() == n
+    spark.sql("DROP TABLE replaced_rows")
+
+
+def test_export_runs_its_query_once(spark, tmpdir_path):
+    path, runs = os.path.join(tmpdir_path, "once"), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            runs.add(b.num_rows)
+            yield b
+
+    df = spark.range(0, 9, 1, 3).mapInArrow(count, "id long")
+    assert io.export_query(spark, df, path) == 9 and runs.value == 9
+    assert io.export_query(spark, spark.range(4), path) == 4 and spark.read.csv(path, header=True).count() == 4
+    assert sorted(os.listdir(tmpdir_path)) == ["once"]
