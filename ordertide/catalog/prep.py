@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ordertide.catalog import ORACLES, query, table
+from ordertide.fixed import UNKNOWN
 from ordertide.functions.scalars import share_or_zero
 from ordertide.operators import prep as X
 from ordertide.operators import profile as P
@@ -44,7 +45,7 @@ FROM s
 def impute_median_mode(spark, sf):
     s = _lines_with_nulls(spark, sf)
     values = {**X.fit_medians(s, ["l_quantity"]), **X.fit_modes(s, ["l_returnflag"]),
-              "l_linestatus": "Unknown"}                                   # I4 constant
+              "l_linestatus": UNKNOWN}                                   # I4 constant
     return X.fill(s, values)
 
 

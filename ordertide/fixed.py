@@ -47,3 +47,7 @@ CALENDAR_ZONE = "Europe/Paris"
 
 # Label of grouped rare categories.
 OTHER = "OTHER"
+
+# Text of a missing category; size tiers, the largest first.
+UNKNOWN = "Unknown"
+TIERS = ["LARGE", "MEDIUM", "SMALL"]

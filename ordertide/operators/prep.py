@@ -12,10 +12,12 @@ from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param.shared import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader,
+                             MLWritable, MLWriter)
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ordertide.fixed import OTHER, TIERS
 from ordertide.functions.scalars import level_indicator
 from ordertide.operators.quantiles import exact_quantiles, quantile_rows
 
@@ -124,7 +126,7 @@ def count_freq_encode(df: DataFrame, col: str, fitted_counts: DataFrame) -> Data
     return df.join(fitted_counts, col, "left")
 
 
-def rare_group(df: DataFrame, col: str, min_count: int, other: str = "OTHER",
+def rare_group(df: DataFrame, col: str, min_count: int, other: str = OTHER,
                fitted_counts: DataFrame | None = None) -> DataFrame:
     """Levels seen fewer than ``min_count`` times (or unseen) -> ``other``.
 
@@ -166,22 +168,74 @@ class HybridEncoder(Estimator, _EncParams, DefaultParamsReadable, DefaultParamsW
         return HybridEncoderModel(col, self.getOrDefault("dropFirst"), kept, lv, rows)
 
 
-class HybridEncoderModel(Model):
-    def __init__(self, col: str, drop_first: bool, frequent: list, lvls: list, counts: list):
+class HybridEncoderModel(Model, _EncParams, MLReadable, MLWritable):
+    """The fitted levels: ``frequent`` ones stay, ``lvls`` have a column each, ``counts`` are rows
+    (level, count, frequency).  They are saved with the model, as Parquet."""
+
+    def __init__(self, col: str = "category", drop_first: bool = True, frequent: Sequence = (), lvls: Sequence = (), counts: Sequence = ()):
         super().__init__()
-        self.col, self.drop_first, self.frequent, self.lvls, self.counts = col, drop_first, frequent, lvls, counts
+        self._setDefault(inputCol="category", minCount=100, dropFirst=True)
+        self._set(inputCol=col, dropFirst=drop_first)
+        self.frequent, self.lvls, self.counts = list(frequent), list(lvls), list(counts)
+
+    @property
+    def col(self) -> str:
+        return self.getOrDefault("inputCol")
+
+    @property
+    def drop_first(self) -> bool:
+        return self.getOrDefault("dropFirst")
+
+    def write(self) -> MLWriter:
+        return _HybridWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _HybridReader(cls)
 
     def _transform(self, df: DataFrame) -> DataFrame:
         c = self.col
         spark = df.sparkSession
         g = df.withColumn(c, F.when(F.col(c).isNull(), F.lit(None).cast("string"))
-                          .when(F.col(c).isin(self.frequent), F.col(c)).otherwise(F.lit("OTHER")))
+                          .when(F.col(c).isin(self.frequent), F.col(c)).otherwise(F.lit(OTHER)))
         cnt = spark.createDataFrame(self.counts, f"{c} string, {c}_count bigint, {c}_freq double")
         # one row per fitted level: bounded by the level list checked at fit
         g = g.join(F.broadcast(cnt), c, "left")
         return one_hot(g, c, self.lvls, self.drop_first, keep=True)
 
 
+_LEVEL_ROWS = "kind string, place int, level string, n bigint, freq double"
+
+
+class _HybridWriter(MLWriter):
+    def __init__(self, model: HybridEncoderModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        m = self.model
+        DefaultParamsWriter.saveMetadata(m, path, self.sparkSession)
+        rows = [("frequent", i, v, None, None) for i, v in enumerate(m.frequent)] + [("column", i, v, None, None) for i, v in enumerate(m.lvls)]
+        rows += [("count", i, v, n, f) for i, (v, n, f) in enumerate(m.counts)]
+        self.sparkSession.createDataFrame(rows, _LEVEL_ROWS).write.parquet(f"{path}/levels")
+
+
+class _HybridReader(MLReader):
+    def __init__(self, cls):
+        super().__init__()
+        self.cls = cls
+
+    def load(self, path: str) -> HybridEncoderModel:
+        meta = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        rows = sorted(self.sparkSession.read.schema(_LEVEL_ROWS).parquet(f"{path}/levels").collect(), key=lambda r: r.place)   # fitted levels: bounded
+        of = lambda kind: [r for r in rows if r.kind == kind]
+        model = self.cls(frequent=[r.level for r in of("frequent")], lvls=[r.level for r in of("column")],
+                         counts=[(r.level, r.n, r.freq) for r in of("count")])
+        model._resetUid(meta["uid"])
+        DefaultParamsReader.getAndSetParams(model, meta)
+        return model
+
+
 # ---------------------------------------------------------------------------
 # tiers, top-N, rare flags, shares
 # ---------------------------------------------------------------------------
@@ -193,8 +247,8 @@ def frequency_tiers(df: DataFrame, group: str, name: str = "tier") -> DataFrame:
     """
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
     q25, q75 = quantile_rows(counts, ["n"], [0.25, 0.75])["n"]
-    return counts.withColumn(name, F.when(F.col("n") >= q75, "LARGE")
-                             .when(F.col("n") >= q25, "MEDIUM").otherwise("SMALL")).select(group, "n", name)
+    return counts.withColumn(name, F.when(F.col("n") >= q75, TIERS[0])
+                             .when(F.col("n") >= q25, TIERS[1]).otherwise(TIERS[2])).select(group, "n", name)
 
 
 def top_n_levels(df: DataFrame, col: str, n: int, weight: Column | None = None) -> list:
@@ -205,7 +259,7 @@ def top_n_levels(df: DataFrame, col: str, n: int, weight: Column | None = None)
     return [r[col] for r in rows]
 
 
-def top_n_other(df: DataFrame, col: str, keep: Sequence, other: str = "OTHER") -> DataFrame:
+def top_n_other(df: DataFrame, col: str, keep: Sequence, other: str = OTHER) -> DataFrame:
     """I14 apply: levels outside ``keep`` -> ``other``; NULL kept apart."""
     return df.withColumn(col, F.when(F.col(col).isNull(), F.lit(None).cast("string"))
                          .when(F.col(col).isin(list(keep)), F.col(col)).otherwise(F.lit(other)))
@@ -268,10 +322,8 @@ def time_split(df: DataFrame, ts: str, key: Sequence[str], train_share: float =
         return df.withColumn(name, F.lit("test"))
     order = [F.asc_nulls_first(ts), *[F.asc_nulls_first(k) for k in key]]
     place = lambda: F.struct(F.col(ts), *[F.col(k) for k in key])
-    last = df.filter(minute == at["m"]).orderBy(*order).limit(int(at["r"])).agg(F.max(place()).alias("__x"))
-    one = F.lit(1).alias("__one")                                                 # a table of one row
-    return df.select("*", one).join(F.broadcast(last.select("*", one)), "__one").withColumn(
-        name, F.when(place() <= F.col("__x"), "train").otherwise("test")).drop("__x", "__one")
+    last = df.filter(minute == at["m"]).orderBy(*order).limit(int(at["r"])).agg(F.max(place()).alias("x"))
+    return df.withColumn(name, F.when(place() <= last.scalar(), "train").otherwise("test"))
 
 
 def key_hash(key: Sequence[str]) -> Column:

@@ -43,13 +43,21 @@ def nested_key_counts(df: DataFrame, order: Sequence[str], delivery: str, line:
     smaller table, grain by grain, instead of expanding each row once per distinct
     count.  Null keys are values, as in ``SELECT DISTINCT``."""
     fine = df.groupBy(*order, delivery, line).agg(F.max(affected.cast("int")).alias("hit"), F.sum(F.when(affected, value)).alias("value"))
-    one = lambda d, *e: d.agg(*e).withColumn("__one", F.lit(1))
     per_delivery = fine.groupBy(*order, delivery).agg(F.max("hit").alias("hit"), F.sum("value").alias("value"))
     per_order = per_delivery.groupBy(*order).agg(F.count(F.lit(1)).alias("n"), F.sum("hit").alias("hit"), F.sum("value").alias("value"))
-    top = one(per_order, F.count(F.lit(1)).alias("n_orders"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_deliveries"),
-              F.coalesce(F.sum("hit"), F.lit(0)).alias("n_affected_deliveries"), F.sum("value").cast("double").alias("affected_value"))
-    lines = one(fine.filter("hit = 1").groupBy(*order, line).agg(F.lit(1).alias("x")), F.count(F.lit(1)).alias("n_affected_lines"))
-    return top.join(lines, "__one").drop("__one")
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("bigint"))
+    top = per_order.agg(F.count(F.lit(1)).alias("n_orders"), zero(F.sum("n")).alias("n_deliveries"),
+                        zero(F.sum("hit")).alias("n_affected_deliveries"), F.sum("value").cast("double").alias("affected_value"))
+    lines = fine.filter("hit = 1").groupBy(*order, line).agg(F.lit(1).alias("x")).agg(F.count(F.lit(1)).alias("n_affected_lines"))
+    return side_by_side(top, lines)
+
+
+def side_by_side(*parts: DataFrame) -> DataFrame:
+    """Tables of one row each as one row (without a join)."""
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def cancellation_by_delivery(lines: DataFrame, delivery_keys: Sequence[str], line_key: str,

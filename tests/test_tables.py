@@ -73,3 +73,13 @@ def test_empty_and_constant(spark, frame):
     one = spark.createDataFrame([(1, 5.0, "a"), (2, 5.0, "a")], "id long, n1 double, c1 string")
     model = TablePreparer(numericCols=["n1"], categoricalCols=["c1"]).fit(one)
     assert [list(r.features) for r in model.transform(one).collect()] == [[0.0], [0.0]]
+
+
+def test_hybrid_encoder_keeps_its_levels(spark, frame, tmpdir_path):
+    from ordertide.operators.prep import HybridEncoder, HybridEncoderModel
+    model = HybridEncoder(inputCol="c1", minCount=90, dropFirst=False).fit(frame)
+    path = os.path.join(tmpdir_path, "hybrid")
+    model.write().save(path)
+    again = HybridEncoderModel.load(path)
+    assert (again.col, again.drop_first, again.frequent, again.lvls, again.counts) == (model.col, model.drop_first, model.frequent, model.lvls, model.counts)
+    assert sorted(map(str, again.transform(frame).collect())) == sorted(map(str, model.transform(frame).collect()))
