@@ -21,11 +21,8 @@ from ordertide.llm.common import Memo, map_arrow, text_bytes
 BUCKETS = 1 << 13
 RANK = 6
 PER_CLASS = 2_500         # labelled rows of each class to learn from
-MAX_BYTES = 1 << 16       # longest text to learn from
 EPOCHS, BATCH, RATE, DECAY = 15, 64, 0.1, 1e-4
-_DROP = {name: {ord(c): None for c in chars} for name, chars in {
-    "symbol": "#*$%&|<>", "mark": "!?", "digit": "0123456789", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
-    "stop": ".,;:", "bracket": "()[]{}=\"'/\\_-+@"}.items()}
+_KINDS = [b"#*$%&|<>", b"!?", b"0123456789", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b".,;:", b"()[]{}=\"'/\\_-+@"]
 _PRIOR = 4                # words added to each ratio's base, so that short texts aren't extreme
 
 
@@ -34,12 +31,13 @@ def statistics(text: str, ws: list[str]) -> list[float]:
     n, chars, lines = len(ws), len(text), text.split("\n")
     full = [x.strip() for x in lines if x.strip()]
     base = n + _PRIOR
-    share = lambda name: (chars - len(text.translate(_DROP[name]))) / (chars + 5 * _PRIOR)
+    raw = text.encode("utf-8", "surrogatepass")
+    shares = [(len(raw) - len(raw.translate(None, kind))) / (chars + 5 * _PRIOR) for kind in _KINDS]
     tail = sum([w[-1] in "#*$%&|<>!" for w in ws])
     same = sum([a == b for a, b in zip(ws, ws[1:])])
     distinct = len(set(ws))
     pairs = len(set(zip(ws, ws[1:])))
-    return [np.log1p(n), np.log1p(chars), sum(map(len, ws)) / base, *(share(k) for k in _DROP), tail / base, same / base,
+    return [np.log1p(n), np.log1p(chars), sum(map(len, ws)) / base, *shares, tail / base, same / base,
             (n - distinct) / base, (n - 1 - pairs) / base if n else 0.0, np.log1p(len(full)), (len(full) - len(set(full))) / (len(full) + 1),
             n / (len(full) + 1), max(map(len, full), default=0) / (chars + 1), sum([len(w) > 15 for w in ws]) / base,
             sum([len(w) == 1 for w in ws]) / base, (chars - sum(map(len, ws))) / (chars + 1), float(n < 20), float(n < 50)]
@@ -56,15 +54,20 @@ class Model:
     mean: np.ndarray
     scale: np.ndarray
 
-    def features(self, stats: list[float]) -> np.ndarray:
-        return np.clip((np.array(stats) - self.mean) / self.scale, -4, 4)
-
-    def score(self, at: np.ndarray, x: np.ndarray, stats: list[float]) -> float:
-        z = self.features(stats)
-        v, s = self.v[at] * x[:, None], self.v[BUCKETS:] * z[:, None]
-        total = v.sum(0) + s.sum(0)
-        out = self.w0 + self.w[at] @ x + self.w[BUCKETS:] @ z + 0.5 * ((total ** 2).sum() - (v ** 2).sum() - (s ** 2).sum())
-        return float(1 / (1 + np.exp(-np.clip(out, -500, 500))))
+    def scores(self, bags: list[list[int]], stats: np.ndarray) -> np.ndarray:
+        """Scores of texts given as the buckets of their words and their statistics: one sparse
+        product for all of them."""
+        m = len(bags)
+        z = np.clip((stats - self.mean) / self.scale, -4, 4)
+        row = np.repeat(np.arange(m), np.fromiter(map(len, bags), np.int64, m))
+        at, n = np.unique(row * BUCKETS + np.array([b for x in bags for b in x], np.int64), return_counts=True)
+        row, col = at // BUCKETS, at % BUCKETS
+        x = np.sqrt(n / np.bincount(row, n, m)[row])
+        v = self.v[col] * x[:, None]
+        total = np.stack([np.bincount(row, v[:, f], m) for f in range(RANK)], 1) + z @ self.v[BUCKETS:]
+        squares = np.bincount(row, (v ** 2).sum(1), m) + z ** 2 @ (self.v[BUCKETS:] ** 2).sum(1)
+        out = self.w0 + np.bincount(row, self.w[col] * x, m) + z @ self.w[BUCKETS:] + 0.5 * ((total ** 2).sum(1) - squares)
+        return 1 / (1 + np.exp(-np.clip(out, -500, 500)))
 
 
 def _bucket(w: str) -> int:
@@ -78,8 +81,18 @@ def bag(buckets: list[int]) -> tuple[np.ndarray, np.ndarray]:
     return at, x / np.sqrt((x * x).sum()) if len(x) else x
 
 
-def fit(sample: list[tuple[str, int]], seed: int = 1) -> Model:
-    """Train on (text, label) pairs with equal weight of both classes.  Without both
+FEATURES = "struct<at:array<long>,x:array<double>,stats:array<double>>"
+
+
+def features(text: str) -> tuple[list[int], list[float], list[float]]:
+    """What the model learns from a text: at most ``BUCKETS`` buckets with values, and statistics."""
+    ws = text.split()
+    at, x = bag([_bucket(w) for w in ws])
+    return at.tolist(), x.tolist(), [float(v) for v in statistics(text, ws)]
+
+
+def fit(sample: list[tuple], seed: int = 1) -> Model:
+    """Train on (text or its features, label) pairs with equal weight of both classes.  Without both
     labels all texts score alike (0.5 without any, else near the only label)."""
     rng = np.random.default_rng(seed)
     size = BUCKETS + N_STATS
@@ -88,11 +101,11 @@ def fit(sample: list[tuple[str, int]], seed: int = 1) -> Model:
     if len(set(ys.tolist())) < 2:
         model.w0 = 0.0 if not len(ys) else (5.0 if ys[0] else -5.0)
         return model
-    split = [t.split() for t, _ in sample]
-    stats = np.array([statistics(t, ws) for (t, _), ws in zip(sample, split)])
+    known = [features(t) if isinstance(t, str) else t for t, _ in sample]
+    stats = np.array([s for _, _, s in known])
     model.mean, model.scale = stats.mean(0), np.maximum(stats.std(0), 1e-9)
-    z = np.array([model.features(s) for s in stats])
-    bags = [bag([_bucket(w) for w in ws]) for ws in split]
+    z = np.clip((stats - model.mean) / model.scale, -4, 4)
+    bags = [(np.array(at, np.int64), np.array(x, np.float64)) for at, x, _ in known]
     weight = np.where(ys == 1, 0.5 / (ys == 1).mean(), 0.5 / (ys == 0).mean())
     model.v = rng.normal(0, 0.05, (size, RANK))
     g0, gw, gv = 1e-8, np.full(size, 1e-8), np.full((size, RANK), 1e-8)
@@ -133,12 +146,12 @@ def quality_scores(df: DataFrame, model: Model, id_col: str = "doc_id", text_col
     def run(batches):
         memo = Memo(memo_size)
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
+            for at in range(0, b.num_rows, 250):
+                part = b.slice(at, 250)
                 texts = [t.decode("utf-8", "replace") for t in part.column(1).to_pylist()]
                 split = [t.split() for t in texts]
                 of = memo.known((w for x in split for w in x), lambda new: [_bucket(w) for w in new])
-                s = np.array([model.score(*bag([of[w] for w in ws]), statistics(t, ws)) for t, ws in zip(texts, split)])
+                s = model.scores([[of[w] for w in ws] for ws in split], np.array([statistics(t, ws) for t, ws in zip(texts, split)]).reshape(-1, N_STATS))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(s, pa.float64()), pa.array(s >= threshold).cast(pa.int32())],
                                                  names=["id", "score", "predicted"])
 

@@ -13,7 +13,7 @@ from ordertide.llm.training import labelled_sample
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4)
-    return out.withColumnRenamed("id", "doc_id")
+    return out.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +31,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fit_toxicity(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     return toxicity.fit(labelled_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic",
-                                        fold(F.col("doc_id"), 5) != 0, toxicity.PER_CLASS, toxicity.MAX_BYTES))
+                                        fold(F.col("doc_id"), 5) != 0, toxicity.PER_CLASS, toxicity.described, "string"))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +62,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(labelled_sample(docs, table(spark, sf_dir, "labels"), "quality", fold(F.col("doc_id"), 5) != 0,
-                                        quality.PER_CLASS, quality.MAX_BYTES))
+                                        quality.PER_CLASS, quality.features, quality.FEATURES))
     out = quality.quality_scores(docs, model)
     return out.select(F.col("id").alias("doc_id"), (fold(F.col("id"), 5) == 0).alias("held_out"), "score", "predicted")
 

@@ -1,11 +1,15 @@
 """Toxicity by subword-bag embeddings under a linear softmax.
 
 A word is the average of the embeddings of its character n-grams and of itself
-(hashed), a set of words the average of its words; a linear softmax stands on
-top.  Embeddings and softmax are trained jointly in numpy.  Unseen misspellings
-share character n-grams with words that were seen.  A text is averaged over its
-``TOP`` most toxic distinct words, in training as in use, so a few words in a long
-text still count, wherever they stand, and a repeated word counts once.
+(hashed), a text the weighted average of all its distinct words, wherever they stand; a
+linear softmax stands on top.  Embeddings, softmax and the weights of words (the
+exponential of a salience that n-grams share in the same way) are trained jointly in
+numpy.  Unseen misspellings share n-grams with words that were seen.
+
+The weights let a few words count in a long text without making length itself count:
+texts of every length are learnt from, and in each epoch the clean ones also in
+joins of 2 to 256 texts, which stay clean (shorter joins also with a toxic text, and
+toxic then).  N-grams that were never seen have no say.
 """
 
 from __future__ import annotations
@@ -25,10 +29,11 @@ from ordertide.llm.common import Memo, forget, prepare, text_bytes
 BUCKETS = 1 << 16
 DIMS = 8
 GRAMS = (3, 4, 5)
-TOP = 4
 PER_CLASS = 2_000         # labelled rows of each class to learn from
-MAX_BYTES = 1 << 16       # longest text to learn from
-EPOCHS, BATCH, RATE = 20, 64, 0.1
+EPOCHS, BATCH, RATE = 6, 64, 0.1
+BATCH_WORDS = 30_000      # of the texts of a training step
+SCALE = 10.0              # of saliences against their steps
+JOINED, MIXED = 256, 8    # most clean texts in a join, and beside a toxic one
 _EDGE = string.punctuation
 _PART = 20_000            # words hashed at a time
 _ROWS = 250               # texts whose words are held at a time
@@ -39,6 +44,11 @@ def words(text: str) -> list[str]:
     return [w for w in dict.fromkeys(x.strip(_EDGE) for x in text.lower().split()) if w]
 
 
+def described(text: str) -> str:
+    """What the model learns from a text: its distinct words, a line each."""
+    return "\n".join(words(text))
+
+
 def subwords(ws: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(word index, bucket) of the n-grams of ``<word>`` and of the word itself."""
     n = np.fromiter(map(len, ws), np.int64, len(ws)) + 2
@@ -62,70 +72,138 @@ def subwords(ws: list[str]) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class Model:
     gain: np.ndarray      # logit of each bucket's embedding
+    salience: np.ndarray
+    seen: np.ndarray      # buckets that were learnt
     bias: float
 
-    def word_logits(self, ws: list[str]) -> np.ndarray:
+    def word_values(self, ws: list[str]) -> list[tuple[float, float]]:
+        """(logit, salience) of each word; a word without a learnt n-gram has no weight."""
         out = []
         for i in range(0, len(ws), _PART):
-            owner, bucket = subwords(ws[i:i + _PART])
-            out.append(np.bincount(owner, self.gain[bucket]) / np.bincount(owner))
-        return np.concatenate(out) if out else np.zeros(0)
-
-    def score(self, logits: np.ndarray) -> float:
-        """Probability for the word logits of a text."""
-        top = float(np.sort(logits)[-TOP:].mean()) if len(logits) else 0.0
-        return float(1 / (1 + np.exp(-np.clip(top + self.bias, -500, 500))))
+            part = ws[i:i + _PART]
+            owner, bucket = subwords(part)
+            n = np.bincount(owner, self.seen[bucket], len(part))
+            logit, salience = (np.bincount(owner, v[bucket], len(part)) / np.maximum(n, 1) for v in (self.gain, self.salience))
+            out += zip(logit.tolist(), np.where(n > 0, salience, -np.inf).tolist())
+        return out
+
+    def score(self, values: list[tuple[float, float]]) -> float:
+        """Probability for the word values of a text."""
+        z = self.bias
+        if values:
+            logit, salience = np.array(values).T
+            top = salience.max()
+            if top > -np.inf:
+                a = np.exp(salience - top)
+                z += a @ logit / a.sum()
+        return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
+
+
+def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    return np.arange(length.sum()) + np.repeat(start - (np.cumsum(length) - length), length)
+
+
+def _examples(rng, clean: list[np.ndarray], toxic: list[np.ndarray]) -> list[tuple[np.ndarray, int]]:
+    """The texts of an epoch (distinct words, label), in random order: all of them, and joins."""
+    out = [(d, 0) for d in clean] + [(d, 1) for d in toxic]
+    turn, at, k = rng.permutation(len(clean)), 0, 2
+    while at < len(turn):
+        own = [clean[i] for i in turn[at:at + k]]
+        out.append((np.unique(np.concatenate(own)), 0))
+        if k <= MIXED:
+            out.append((np.unique(np.concatenate([*own, toxic[rng.integers(len(toxic))]])), 1))
+        at, k = at + k, k * 2 if k < JOINED else 2
+    return [out[i] for i in rng.permutation(len(out))]
+
+
+def _batches(texts: list[tuple[np.ndarray, int]]):
+    """At most ``BATCH`` texts of about ``BATCH_WORDS`` words together (or one longer text)."""
+    own, held = [], 0
+    for t in texts:
+        own.append(t)
+        held += len(t[0])
+        if len(own) == BATCH or held >= BATCH_WORDS:
+            yield own
+            own, held = [], 0
+    if own:
+        yield own
+
+
+def _tables(vocab: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the words' n-grams, word by word, and their number."""
+    buckets, counts = [], []
+    for i in range(0, len(vocab), _PART):
+        part = vocab[i:i + _PART]
+        owner, bucket = subwords(part)
+        buckets.append(bucket[np.argsort(owner, kind="stable")].astype(np.int32))
+        counts.append(np.bincount(owner, minlength=len(part)))
+    return np.concatenate(buckets), np.concatenate(counts)
 
 
 def fit(sample: list[tuple[str, int]], seed: int = 1) -> Model:
-    """Train on (text, label) pairs; without both labels the model scores all texts alike
-    (0.5 without any, else near the only label)."""
+    """Train on (text or its words, label) pairs; without both labels the model scores all
+    texts alike (0.5 without any, else near the only label)."""
     rng = np.random.default_rng(seed)
     index: dict[str, int] = {}
-    docs = [(np.array([index.setdefault(w, len(index)) for w in words(t)], np.int64), y) for t, y in sample]
-    docs = [(d, y) for d, y in docs if len(d)]
-    ys = np.array([y for _, y in docs])
-    if len(set(ys.tolist())) < 2:
-        return Model(np.zeros(BUCKETS), 0.0 if not len(ys) else (5.0 if ys[0] else -5.0))
-    vocab = list(index)
-    parts = [subwords(vocab[i:i + _PART]) for i in range(0, len(vocab), _PART)]
-    owner = np.concatenate([o + i * _PART for i, (o, _) in enumerate(parts)])
-    bucket = np.concatenate([b for _, b in parts])
-    order = np.argsort(owner, kind="stable")
-    bucket, n_sub = bucket[order], np.bincount(owner, minlength=len(vocab))
+    docs: tuple[list, list] = ([], [])
+    for t, y in sample:
+        own = [index.setdefault(w, len(index)) for w in words(t)]
+        if own:
+            docs[y].append(np.array(own, np.int64))
+    n_docs = len(docs[0]) + len(docs[1])
+    if not (docs[0] and docs[1]):
+        none = np.zeros(BUCKETS)
+        return Model(none, none, none > 0, 0.0 if not n_docs else (5.0 if docs[1] else -5.0))
+    bucket, n_sub = _tables(list(index))
+    index.clear()
     first = np.cumsum(n_sub) - n_sub
-    emb = rng.uniform(-1 / DIMS, 1 / DIMS, (BUCKETS, DIMS))
-    soft, bias = rng.uniform(-0.5, 0.5, (DIMS, 2)), np.zeros(2)
-    g_emb, g_soft, g_bias = np.full((BUCKETS, DIMS), 1e-8), np.full((DIMS, 2), 1e-8), np.full(2, 1e-8)
-    weight = 0.5 / np.array([(ys == 0).mean(), (ys == 1).mean()])
+    emb, soft, bias = rng.uniform(-1 / DIMS, 1 / DIMS, (BUCKETS, DIMS)), rng.uniform(-0.5, 0.5, DIMS), np.zeros(1)
+    salience = np.zeros(BUCKETS)
+    squares = {k: np.full(v.shape, 1e-8) for k, v in (("emb", emb), ("soft", soft), ("bias", bias), ("salience", salience))}
+    weight = np.array([0.5 * n_docs / len(docs[0]), 0.5 * n_docs / len(docs[1])])
+
+    def step(name, value, at, slope):
+        seen = squares[name]
+        seen[at] += slope * slope
+        value[at] -= RATE * slope / np.sqrt(seen[at])
 
     for _ in range(EPOCHS):
-        gain = emb @ (soft[:, 1] - soft[:, 0])
-        logit = np.add.reduceat(gain[bucket], first) / n_sub
-        chosen = [d[np.argsort(-logit[d], kind="stable")[:TOP]] for d, _y in docs]
-        turn = rng.permutation(len(docs))
-        for at in range(0, len(turn), BATCH):
-            own = turn[at:at + BATCH]
-            ids = np.concatenate([chosen[i] for i in own])
-            n = np.array([len(chosen[i]) for i in own])
-            of = np.repeat(np.arange(len(own)), n)
-            k = n_sub[ids]
-            row = np.repeat(of, k)
-            col = bucket[np.repeat(first[ids] - (np.cumsum(k) - k), k) + np.arange(k.sum())]
-            share = np.repeat(1 / (n[of] * k), k)
-            hidden = np.stack([np.bincount(row, share * emb[col, j], len(own)) for j in range(DIMS)], 1)
-            z = hidden @ soft + bias
-            p = np.exp(z - z.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            p[np.arange(len(own)), ys[own]] -= 1
-            p *= (weight[ys[own]] / len(own))[:, None]
-            d_soft, d_bias, d_hidden = hidden.T @ p, p.sum(0), p @ soft.T
-            used, back = np.unique(col, return_inverse=True)
-            d_emb = np.stack([np.bincount(back, share * d_hidden[row, j], len(used)) for j in range(DIMS)], 1)
-            for value, seen, d, at_rows in ((emb, g_emb, d_emb, used), (soft, g_soft, d_soft, ...), (bias, g_bias, d_bias, ...)):
-                seen[at_rows] += d * d
-                value[at_rows] -= RATE * d / np.sqrt(seen[at_rows])
-    return Model(emb @ (soft[:, 1] - soft[:, 0]), float(bias[1] - bias[0]))
+        texts = _examples(rng, *docs)
+        for own in _batches(texts):
+            m, y = len(own), np.array([v for _, v in own])
+            n = np.array([len(d) for d, _ in own])
+            row = np.repeat(np.arange(m), n)
+            used, word = np.unique(np.concatenate([d for d, _ in own]), return_inverse=True)
+            gain, logit, weight_of = emb @ soft, np.empty(len(used)), np.empty(len(used))
+            for part in (slice(i, i + _PART) for i in range(0, len(used), _PART)):
+                k = n_sub[used[part]]
+                col, start = bucket[_ranges(first[used[part]], k)], np.cumsum(k) - k
+                logit[part] = np.add.reduceat(gain[col], start) / k
+                weight_of[part] = SCALE * np.add.reduceat(salience[col], start) / k
+            s = weight_of[word]
+            a = np.exp(s - np.maximum.reduceat(s, np.cumsum(n) - n)[row])
+            a /= np.bincount(row, a, m)[row]
+            mean = np.bincount(row, a * logit[word], m)
+            # the softmax of two classes: the slope of its loss by the difference of the logits
+            dz = (1 / (1 + np.exp(-np.clip(mean + bias, -500, 500))) - y) * weight[y] / m
+            d_logit = np.bincount(word, dz[row] * a, len(used))
+            d_weight = SCALE * np.bincount(word, dz[row] * a * (logit[word] - mean[row]), len(used))
+            d_gain, d_salience, met = np.zeros(BUCKETS), np.zeros(BUCKETS), np.zeros(BUCKETS, bool)
+            for part in (slice(i, i + _PART) for i in range(0, len(used), _PART)):
+                k = n_sub[used[part]]
+                col = bucket[_ranges(first[used[part]], k)]
+                d_gain += np.bincount(col, np.repeat(d_logit[part] / k, k), BUCKETS)
+                d_salience += np.bincount(col, np.repeat(d_weight[part] / k, k), BUCKETS)
+                met[col] = True
+            cols = np.flatnonzero(met)
+            d_emb, d_soft = np.outer(d_gain[cols], soft), emb[cols].T @ d_gain[cols]
+            step("emb", emb, cols, d_emb)
+            step("salience", salience, cols, d_salience[cols])
+            step("soft", soft, ..., d_soft)
+            step("bias", bias, ..., np.array([dz.sum()]))
+    seen = np.zeros(BUCKETS, bool)
+    seen[bucket] = True
+    return Model(np.where(seen, emb @ soft, 0.0), np.where(seen, SCALE * salience, 0.0), seen, float(bias[0]))
 
 
 def toxicity_scores(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
@@ -141,8 +219,8 @@ def toxicity_scores(df: DataFrame, model: Model, id_col: str = "doc_id", text_co
 
     def logits(texts: list[str], memo: Memo) -> list[float]:
         split = [words(t) for t in texts]
-        of = memo.known((w for x in split for w in x), lambda new: model.word_logits(new).tolist())
-        return [model.score(np.array([of[w] for w in x])) for x in split]
+        of = memo.known((w for x in split for w in x), model.word_values)
+        return [model.score([of[w] for w in x]) for x in split]
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         forget()
