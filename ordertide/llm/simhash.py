@@ -20,10 +20,10 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordertide.llm.common import map_arrow, text_bytes, written
+from ordertide.llm.common import map_arrow, prepare, text_bytes, written
 from ordertide.llm.graph import components
 
 SEED = 42
@@ -194,10 +194,12 @@ def links(fps: DataFrame, bits: int) -> DataFrame:
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 4, bits: int = 4) -> DataFrame:
-    """(id, fingerprint, component_id): one row per input row.
+    """(id, fingerprint, component_id, component): one row per input row.
 
     ``fingerprint`` is 16 hex digits; ``component_id`` the smallest id reachable
-    over links of at most ``bits`` differing bits, the row's own id included.
+    over links of at most ``bits`` differing bits, the row's own id included;
+    ``component`` names the group by one of its fingerprints, also where texts of
+    several groups share an id.
 
     Null, empty and blank texts have fingerprint zero and are linked like any
     other.  Repeated rows are kept, each with its component.  A row whose id is
@@ -210,6 +212,41 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rooted = nodes.join(near, nodes["fp"] == near["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_fp = rooted.join(least, "root").select(F.col("fp").alias("node_fp"), "component_id")
+    of_fp = rooted.join(least, "root").select(F.col("fp").alias("node_fp"), "component_id", "root")
     return docs.join(of_fp, docs["fp"] == of_fp["node_fp"], "left").select(
-        "id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+        "id", hexadecimal(F.col("fp")).alias("fingerprint"), "component_id", hexadecimal(F.col("root")).alias("component"))
+
+
+def hexadecimal(fp: Column) -> Column:
+    return F.lpad(F.lower(F.hex(fp)), 16, "0")
+
+
+def fingerprint(text: Column, shingle: int = 4) -> Column:
+    """The fingerprint of a text column as 16 hex digits, beside other columns."""
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([f"{simhash(t, shingle):016x}" for t in texts.to_pylist()], pa.string())
+
+    return F.arrow_udf(run, returnType="string")(text_bytes(text))
+
+
+def one_of_each_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, bits: int = 4) -> DataFrame:
+    """The rows of ``df`` without near-duplicates: of each group the row of the smallest id
+    stays (of its rows that of the smallest fingerprint, then the least text).  Rows are
+    judged by their own text: others under the same id aren't touched.  Rows with a null
+    id belong to no group and stay."""
+    prepare(df.sparkSession)
+    kinds = written(near_duplicates(df, id_col, text_col, shingle, bits).where("id IS NOT NULL"), "simhash-kinds")
+    first = kinds.groupBy("component").agg(F.min(F.struct("id", "fingerprint")).alias("k")).select("k.*")
+    key = ["id", "fingerprint"]
+    gone = kinds.join(first, key, "left_anti").select(F.col("id").alias("gone")).distinct()
+    several = kinds.groupBy("id").count().where("count > 1").select(F.col("id").alias("several"))
+    once = df.join(several, df[id_col] == several["several"], "left_anti")
+    once = once.join(gone, once[id_col] == gone["gone"], "left_anti")
+    # ids with several rows: each row by its own fingerprint
+    rows = df.join(several, df[id_col] == several["several"], "left_semi")
+    rows = rows.withColumn("__fp", fingerprint(F.col(text_col), shingle))
+    first = first.select(F.col("id").alias("__id"), F.col("fingerprint").alias("__keep"))
+    rows = rows.join(first, (rows[id_col] == first["__id"]) & (rows["__fp"] == first["__keep"]), "left_semi")
+    least = Window.partitionBy(id_col, "__fp").orderBy(F.coalesce(F.col(text_col), F.lit("None")), *[c for c in df.columns if c not in (id_col, text_col)])
+    rows = rows.withColumn("__n", F.row_number().over(least)).where("__n = 1")
+    return once.unionByName(rows.select(*df.columns))
