@@ -9,7 +9,6 @@ import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -29,14 +28,9 @@ def strip_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each near-duplicate group (one row of it);
-    rows with a null id belong to no group and stay."""
-    kinds = simhash.near_duplicates(docs, shingle=4, bits=4)
-    leave = kinds.where("id <> component_id").select(F.col("id").alias("leaving")).distinct()
-    kept = docs.join(leave, docs["doc_id"] == leave["leaving"], "left_anti")
-    several = kinds.where("id IS NOT NULL").groupBy("id").count().where("count > 1").select(F.col("id").alias("several"))
-    once = kept.join(several, kept["doc_id"] == several["several"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(several, kept["doc_id"] == several["several"], "left_anti").unionByName(once)
+    """One row of each near-duplicate group, that of the smallest id; every row is judged by
+    its own text, and rows with a null id belong to no group and stay."""
+    return simhash.one_of_each_group(docs, shingle=4, bits=4)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
