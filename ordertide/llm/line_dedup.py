@@ -30,6 +30,7 @@ MIN_CHARS = 20
 SHARD_KEYS = 250_000
 SALT = 16
 MAX_MOVES = 500
+BATCHES = 2               # parts in which line_dedup inserts documents
 _WHITE = b" \t\n\x0b\x0c\r"
 
 
@@ -219,7 +220,12 @@ class LineIndex:
 
     def insert(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LineIndex:
         """The index with these documents; references it has already are not counted again."""
-        batch = written(references(docs, id_col, text_col, self.min_chars), "line-batch")
+        return self.insert_references(written(references(docs, id_col, text_col, self.min_chars), "line-batch"))
+
+    def insert_references(self, batch: DataFrame) -> LineIndex:
+        """``insert`` for distinct references (a, b, doc) of a written table.
+
+        Keys that the filters don't know are new: they never meet the exact tables."""
         fresh, known = batch, None
         if not self.filters.isEmpty():
             known = written(self.maybe_known(batch.select("a", "b").distinct()), "line-known")
@@ -300,12 +306,20 @@ def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_C
     """Index all documents, then strip them: the input's columns with the text stripped,
     n_lines (before), n_dropped and kept_sha256.
 
+    Documents go into the index in ``BATCHES`` parts by a hash of their id, so that the
+    keys of the later part are looked up in the filters and only possible hits meet
+    the exact tables.
+
     Null and empty texts are one empty line (a null text stays null).  Documents are
     distinct ids: repeated rows of an id count once and are stripped alike.  Rows with
     a null id hold no key and stay as they are.  An empty table gives an empty
     result."""
-    lines = docs.select(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
-    index = LineIndex.empty(docs.sparkSession, lines // 100, min_chars).insert(docs, id_col, text_col)
+    size = docs.select(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+    index = LineIndex.empty(docs.sparkSession, size // 100, min_chars)
+    refs = written(references(docs, id_col, text_col, min_chars), "line-batch")
+    batch = F.pmod(F.xxhash64("doc", F.lit(7)), F.lit(BATCHES))
+    for k in range(BATCHES):
+        index = index.insert_references(refs.where(batch == k))
     return strip_lines(docs, index, min_docs, id_col, text_col)
 
 
