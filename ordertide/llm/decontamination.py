@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordertide.llm.common import map_arrow, text_bytes
+from ordertide.llm.common import map_arrow, text_bytes, work_dir, written
 
 STEPS = 64                # padding: no walk is longer
 #: (least item length, steps of a walk, walks, keys drawn from each, steps sampled by a key, anchor stride;
@@ -210,6 +210,28 @@ def edit_distance(item: bytes, window: bytes, limit: int) -> int | None:
     return best if best <= limit else None
 
 
+def tiny_distance(item: bytes, text: bytes, limit: int) -> int | None:
+    """``edit_distance`` for the shortest items: of ``limit`` + 1 parts of the item one stands
+    unchanged in the text, so only windows around the parts are compared."""
+    if item in text:
+        return 0
+    best, m = None, len(item)
+    cuts = [m * j // (limit + 1) for j in range(limit + 2)]
+    for a, b in zip(cuts, cuts[1:]) if limit else ():
+        seen, at = set(), text.find(item[a:b])
+        while at >= 0:
+            window = text[max(0, at - a - limit):at - a + m + limit]
+            if window not in seen:
+                seen.add(window)
+                n = edit_distance(item, window, limit)
+                if n is not None:
+                    best = n if best is None else min(best, n)
+                    if best == 1:
+                        return best           # it isn't in the text unchanged
+            at = text.find(item[a:b], at + 1)
+    return best
+
+
 def search(texts: list[bytes], index: ItemIndex, max_edits: float) -> list[tuple[int, int, int]]:
     """(text number, item number, edit distance) of the verified matches, best distance each."""
     texts = [normal(t) for t in texts]
@@ -257,10 +279,9 @@ def search(texts: list[bytes], index: ItemIndex, max_edits: float) -> list[tuple
     for i in range(index.tiny):
         text, k = index.items[i][1], int(limits[i])
         for d, t in enumerate(texts):
-            if k or text in t:
-                n = edit_distance(text, t, k)
-                if n is not None:
-                    keep(d, i, n)
+            n = tiny_distance(text, t, k)
+            if n is not None:
+                keep(d, i, n)
     return [(d, i, n) for (d, i), n in best.items()]
 
 
@@ -288,7 +309,9 @@ def find_leaks(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
     tables give an empty result.  Recall is that of the LSH, at least 0.9 in each length class (see the tests)."""
     src = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), text_bytes(F.col(text_col)).alias("text"))
     schema = "id long, item_id long, edits long"
-    out = df.sparkSession.createDataFrame([], schema)
+    spark, path = df.sparkSession, work_dir(df.sparkSession, "leaks")
+    spark.createDataFrame([], schema).write.parquet(path)
+    # one block of items at a time: the driver and the tasks hold no more than one
     for block in item_blocks(items, item_id_col, item_text_col):
         def run(batches, block=block):
             index = ItemIndex(block)
@@ -300,15 +323,18 @@ def find_leaks(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
                     if found:
                         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["id", "item_id", "edits"])
 
-        out = out.unionByName(map_arrow(src, run, schema))
-    return out.groupBy("id", "item_id").agg(F.min("edits").alias("edits"))
+        map_arrow(src, run, schema).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path).groupBy("id", "item_id").agg(F.min("edits").alias("edits"))
 
 
 def drop_leaks(df: DataFrame, items: DataFrame, text_col: str = "text", item_text_col: str = "text", max_edits: float = MAX_EDITS) -> DataFrame:
     """The rows of ``df`` whose text holds no item, as ``find_leaks`` sees it.  Every row
     is judged by its own text and every item counts, with or without an id."""
-    place, schema = df.columns.index(text_col), df.schema
+    place, schema, done = df.columns.index(text_col), df.schema, 0
     for block in item_blocks(items.select(F.lit(0).alias("i"), F.col(item_text_col).alias("t")), "i", "t"):
+        df = written(df, "clean") if done else df          # the block before is done with, and let go
+        done += 1
+
         def run(batches, block=block):
             index = ItemIndex(block)
             for b in batches:
