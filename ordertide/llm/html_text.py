@@ -67,8 +67,9 @@ def boilerplate(name: str, attributes: str, in_main: bool) -> bool:
         if key in ("class", "id"):
             for own in value.split():
                 words = [w.lower() for w in _WORD.findall(own)]
-                words.append("".join(words))
-                if words[0] not in NEGATIONS and any(w in NAMES or w in OUTSIDE and not in_main for w in words):
+                said = next((i for i, w in enumerate(words) if w in NEGATIONS), len(words))      # "with-sidebar" isn't one
+                words = [*words[:said], *(["".join(words)] if said == len(words) else [])]
+                if any(w in NAMES or w in OUTSIDE and not in_main for w in words):
                     return True
     return False
 
@@ -143,8 +144,8 @@ class _Page:
             self.cut()
             self.gap = max(self.gap, 0 if self.in_main() else WINDOW)
             self.dropped = len(self.stack)
-        elif self.dropped is not None and name in MAIN and self.stack[self.dropped] == "form":
-            self.dropped = None       # a form around the whole page
+        elif self.dropped is not None and (name == "main" or name == "article" and self.stack[self.dropped] == "form"):
+            self.dropped = None       # a form, or an element of a misleading name, around the whole page
         self.stack.append(name)
         self.open[name] = self.open.get(name, 0) + 1
         if name in HEADING and self.dropped is None:

@@ -185,6 +185,7 @@ CASES = {
     "unclosed": f"<article><h1>Title of it{''.join(f'<p>{p}' for p in PARA)}</article><footer>foot",
     "unclosed aside": f"<div><div><aside><p>{PARA[0]}</div></div><article>{STORY}</article>",
     "not dropped": f"<body class='has-sidebar'><div class='no-ads with-menu'><article class='post sidebar'>{STORY}</article></div>",
+    "names": f"<div class='page-with-sidebar'><div class='noAds wideMenuLayout'><main>{STORY}</main></div></div>",
     "form around": f"<form action=x><div>{PARA[0]}</div><article>{STORY}</article><p>{PARA[0]}</p></form>",
     "heading apart": f"<div>x</div><div><h1>Title of it</h1></div><div>{STORY[len('<h1>Title of it</h1>'):]}</div>",
     "hidden": f"<article><p hidden>no</p><p style='display: none'>no</p><div aria-hidden=true>no</div>{STORY}</article>",
