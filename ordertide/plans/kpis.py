@@ -35,21 +35,25 @@ def delivery_summary(per_delivery: DataFrame, group_by: Sequence[str] = (),
     return per_delivery.groupBy(*group_by).agg(*aggs) if group_by else per_delivery.agg(*aggs)
 
 
-def nested_key_counts(df: DataFrame, order: Sequence[str], delivery: str, line: str, affected: Column, value: Column) -> DataFrame:
+def nested_key_counts(lines: DataFrame, orders: DataFrame, key: str, group: str, delivery: str, line: str, affected: Column, value: Column) -> DataFrame:
     """KPI distinct counts (D31): orders, deliveries, affected deliveries and affected lines, and
-    the affected value (one row).
-
-    Rows are aggregated once to (order, delivery, line); every count is taken on that
-    smaller table, grain by grain, instead of expanding each row once per distinct
-    count.  Null keys are values, as in ``SELECT DISTINCT``."""
-    fine = df.groupBy(*order, delivery, line).agg(F.max(affected.cast("int")).alias("hit"), F.sum(F.when(affected, value)).alias("value"))
-    per_delivery = fine.groupBy(*order, delivery).agg(F.max("hit").alias("hit"), F.sum("value").alias("value"))
-    per_order = per_delivery.groupBy(*order).agg(F.count(F.lit(1)).alias("n"), F.sum("hit").alias("hit"), F.sum("value").alias("value"))
+    the affected value (one row).  ``orders`` has the ``key`` and ``group`` of an order; where
+    it repeats a row, the lines' value counts again, as in a join of both.
+
+    Lines are dealt by order once and counted there in two sorts: the first row of a
+    delivery, and of a line, stands for it, an affected one before others.  Only a row per
+    order meets ``orders``.  Null keys are values, as in ``SELECT DISTINCT``."""
+    rows = lines.select(key, delivery, line, F.coalesce(affected, F.lit(False)).alias("hit"), value.alias("value")).repartition(key)
+    first = lambda c: F.row_number().over(Window.partitionBy(key, c).orderBy(F.desc("hit"))) == 1
+    rows = rows.withColumn("__d", first(delivery)).withColumn("__l", first(line))
+    per = rows.groupBy(key).agg(F.count_if("__d").alias("n"), F.count_if(F.col("__d") & F.col("hit")).alias("hit"),
+                                F.count_if(F.col("__l") & F.col("hit")).alias("lines"), F.sum(F.when(F.col("hit"), F.col("value"))).alias("value"))
+    o = orders.select(F.col(key).alias("__k"), F.col(group).alias("__g"))
+    per_order = per.join(o, F.col(key) == F.col("__k")).groupBy("__k", "__g").agg(
+        *[F.max(c).alias(c) for c in ("n", "hit", "lines")], F.sum("value").alias("value"))
     zero = lambda c: F.coalesce(c, F.lit(0).cast("bigint"))
-    top = per_order.agg(F.count(F.lit(1)).alias("n_orders"), zero(F.sum("n")).alias("n_deliveries"),
-                        zero(F.sum("hit")).alias("n_affected_deliveries"), F.sum("value").cast("double").alias("affected_value"))
-    lines = fine.filter("hit = 1").groupBy(*order, line).agg(F.lit(1).alias("x")).agg(F.count(F.lit(1)).alias("n_affected_lines"))
-    return side_by_side(top, lines)
+    return per_order.agg(F.count(F.lit(1)).alias("n_orders"), zero(F.sum("n")).alias("n_deliveries"), zero(F.sum("hit")).alias("n_affected_deliveries"),
+                         F.sum("value").cast("double").alias("affected_value"), zero(F.sum("lines")).alias("n_affected_lines"))
 
 
 def side_by_side(*parts: DataFrame) -> DataFrame:
