@@ -13,12 +13,12 @@ def forecast_days(stock: DataFrame, plan: DataFrame, items: DataFrame, units: Da
     """Days of ``stock`` that have a forecast in ``plan``, of known items and open units.
 
     ``volumes`` are item volumes with validity dates (both ends included); a day without a
-    valid one keeps its row.  Days are first made one row per (unit, item, date), so the
-    windows that look a day back and ahead have at most one row a day per key."""
+    valid one keeps its row.  A day of ``stock`` only lets its forecasts through, however
+    often it is there."""
     day = F.col("local_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    rows = stock.filter(day).select(unit, item, "local_date").distinct()
+    days = stock.filter(day).select(unit, item, "local_date")
     plan = plan.withColumnRenamed("local_forecast_date", "local_date").filter(day)
-    rows = rows.join(plan, [unit, item, "local_date"]).join(items, item).join(units, unit)
+    rows = plan.join(days, [unit, item, "local_date"], "left_semi").join(items, item).join(units, unit)
     rows = interval_join(rows, volumes, [item], "local_date", "valid_from", "valid_to", closed="both", how="left")
     rows = rows.select(
         F.concat_ws(".", "business_unit_type", F.col("business_unit_code").cast("string")).alias("business_unit"),
