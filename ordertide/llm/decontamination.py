@@ -51,8 +51,8 @@ def normal(text: bytes) -> bytes:
 
 @functools.cache
 def _random(walk: int, steps: int, samples: int, sampled: int) -> tuple[np.ndarray, list[list[int]]]:
-    """By step and character: the move, in the lowest bit, and above it the term that the
-    step adds to a key; and the keys that sample each step."""
+    """By step and character: the term that the step adds to a key, with the move as its lowest
+    bit; and the keys that sample each step."""
     rng = np.random.default_rng(1000 + walk)
     moves = rng.integers(0, 2, (STEPS, 256), dtype=np.int64)
     drawn = [rng.choice(steps, sampled, replace=False) for _ in range(samples)]
@@ -78,10 +78,8 @@ def embed(data: np.ndarray, at: np.ndarray, steps: int, walks: int, samples: int
             table[j].take(c, out=both, mode="clip")
             np.bitwise_and(both, 1, out=move)
             pos += move
-            if zs:
-                both -= move
-                for z in zs:
-                    keys[z] += both
+            for z in zs:
+                keys[z] += both               # with its move, which the step and the character fix
         keys = [k.view(np.uint64) for k in keys]
         for k in keys:
             k ^= k >> np.uint64(31)
@@ -165,7 +163,7 @@ def piece_distances(index: ItemIndex, item: np.ndarray, piece: int, data: np.nda
     live = np.searchsorted(-width, -np.arange(int(width.max(initial=0))), "left")
     for n in live.tolist():
         at, p, m, s = pos[:n], pv[:n], mv[:n], score[:n]
-        eq = peq[row[:n] + data[at]]
+        eq = peq.take(row[:n] + data.take(at))
         at += 1
         d0 = eq & p
         d0 += p
