@@ -68,16 +68,19 @@ def embed(data: np.ndarray, at: np.ndarray, steps: int, walks: int, samples: int
     if not len(at):
         return [np.zeros(0, np.uint64)] * (walks * samples)
     data, at = data[at[0]:at[-1] + STEPS].astype(np.int64), at - at[0]
+    begun = data.take(at)                     # the first step is the same in all walks
     c, both, move = (np.empty(len(at), np.int64) for _ in range(3))
     for walk in range(walks):
         table, own = _random(walk, steps, samples, sampled)
         keys = [np.zeros(len(at), np.int64) for _ in range(samples)]
         pos = at.copy()
         for j, zs in enumerate(own):
-            data.take(pos, out=c, mode="clip")
-            table[j].take(c, out=both, mode="clip")
-            np.bitwise_and(both, 1, out=move)
-            pos += move
+            if j:
+                data.take(pos, out=c, mode="clip")
+            table[j].take(c if j else begun, out=both, mode="clip")
+            if j < len(own) - 1:
+                np.bitwise_and(both, 1, out=move)
+                pos += move
             for z in zs:
                 keys[z] += both               # with its move, which the step and the character fix
         keys = [k.view(np.uint64) for k in keys]
@@ -136,7 +139,7 @@ class ItemIndex:
                 at = anchors[s:s + _CHUNK]
                 found = []
                 for k, (known, keys, item, offset) in zip(embed(data, at, *shape), tables):
-                    hit = np.nonzero(known[(k >> shift).astype(np.int64)])[0]
+                    hit = np.nonzero(known.take((k >> shift).view(np.int64)))[0]
                     lo, hi = np.searchsorted(keys, k[hit], "left"), np.searchsorted(keys, k[hit], "right")
                     n = hi - lo
                     rows = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
