@@ -25,14 +25,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordertide.llm.common import map_arrow, Memo, space_segments, text_bytes, worker_state
+from ordertide.llm.common import map_arrow, Memo, release, space_segments, text_bytes, worker_state
 
 BATCH_WORK = 1 << 22      # sum of squared lengths of the pieces contracted by one recursive query
 LONG_PIECE = 48           # bytes; longer pieces are cut, and contract all occurrences of their lowest pair per step
 LONG_BATCH = 1 << 18      # bytes of long pieces contracted together
 DECODE_TOKENS = 1 << 20   # ids decoded by one query
-TEXT_BYTES = 6 << 20      # texts encoded together
+TEXT_BYTES = 1 << 20      # texts encoded together
 MEMO = 300_000            # segments a worker remembers, see Memo
+MEMO_CHARS = 4 << 20      # of them in each generation; an id takes four bytes
 
 # Keys are piece << 32 | position, so one ordering serves pieces and positions.
 _PAIRS = """
@@ -93,7 +94,7 @@ class Bpe:
         self._table("merges", pa.table({"pair": pair, "merged": merged.astype(np.int32)}))
         self._table("vocab", pa.table({"tok": np.array(list(self.ranks.values()), np.int32),
                                        "bytes": [t.decode("latin-1") for t in self.ranks]}))
-        self.memo = Memo(MEMO)
+        self.memo = Memo(MEMO, MEMO_CHARS)
         self.decimal = pa.array([str(i) for i in range(max(self.ranks.values()) + 1)])
         self.spans = None
 
@@ -238,10 +239,18 @@ _ROWS = 2_000  # texts encoded together
 
 
 def _texts(batches):
+    """(ids, texts) of at most ``_ROWS`` rows and, but for a longer text alone, ``TEXT_BYTES``.
+    What each part leaves free goes back to the system, as an executor's workers hold it beside the JVM."""
     for b in batches:
-        for s in range(0, b.num_rows, _ROWS):
-            part = b.slice(s, _ROWS)
+        ends = np.cumsum(pc.binary_length(b.column(1)).to_numpy(zero_copy_only=False), dtype=np.int64)
+        s = 0
+        while s < b.num_rows:
+            most = (ends[s - 1] if s else 0) + TEXT_BYTES
+            e = max(s + 1, min(s + _ROWS, int(np.searchsorted(ends, most, "right"))))
+            part = b.slice(s, e - s)
             yield part.column(0), [t.decode("utf-8", "replace") for t in part.column(1).to_pylist()]
+            release()
+            s = e
 
 
 def _source(df: DataFrame, id_col: str, text_col: str):

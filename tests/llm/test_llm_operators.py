@@ -3,11 +3,15 @@
 import base64
 import hashlib
 import math
+import os
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +19,7 @@ from ordertide.llm.common import Memo, forget
 from ordertide.llm import (bpe, decontamination, line_dedup, lm, quality, quality_rules, queries, simhash,
                            token_counts, toxicity, warc)
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SF = "/root/testdata/sf0.001"
 P = pytest.importorskip("public_tokenizers")
 LONG_LINE = "This line of text is held by several documents."
@@ -208,6 +213,41 @@ def test_bpe(spark, docs, empty):
     assert {r.id: bytes(r.bytes) for r in bpe.decode(coded, path, P.PATTERN).collect()} == {1: b"so be it", 2: b""}
 
 
+def test_bpe_parts_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "TEXT_BYTES", 1000)
+    monkeypatch.setattr(bpe, "_ROWS", 40)
+    texts = ["é" * 200] * 7 + ["b" * 5000] + [""] * 90 + ["c" * 1000, "d"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([t.encode() for t in texts], pa.binary())], names=["id", "text"])
+    parts = [(ids.to_pylist(), own) for ids, own in bpe._texts([batch.slice(0, 0), batch, batch.slice(3, 2)])]
+    assert [i for ids, _ in parts for i in ids] == [*range(len(texts)), 3, 4]
+    assert [t for _, own in parts for t in own] == texts + texts[3:5]
+    assert all(len(own) <= 40 and (len(own) == 1 or sum(len(t.encode()) for t in own) <= 1000) for _, own in parts)
+
+
+def test_bpe_worker_memory():
+    """What a worker takes beyond its vocabulary, over batches of long texts of many words."""
+    code = f"""
+import random, resource, sys
+sys.path.insert(0, {ROOT!r})
+import pyarrow as pa, public_tokenizers as P
+from ordertide.llm import bpe
+peak = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024
+rng, own = random.Random(3), bpe.Bpe(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+words = ["".join(rng.choices("abcdefghijklmnoprstu", k=rng.randint(3, 8))) for _ in range(60_000)]
+base = peak()
+for _ in range(2):
+    rows = [" ".join(rng.choices(words, k=700)).encode() for _ in range(1_500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array(rows, pa.binary())], names=["id", "text"])
+    for _, texts in bpe._texts([batch]):
+        ids = own.encode(texts)
+        own.as_text(ids)
+        assert own.decode(ids) == [t.encode() for t in texts]
+print(round(peak() - base))
+"""
+    took = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, check=True).stdout
+    assert int(took) < 165
+
+
 # ---- classifiers -----------------------------------------------------------------
 
 def test_toxicity(spark, docs, empty):
