@@ -32,7 +32,7 @@ LONG_PIECE = 48           # bytes; longer pieces are cut, and contract all occur
 LONG_BATCH = 1 << 18      # bytes of long pieces contracted together
 DECODE_TOKENS = 1 << 20   # ids decoded by one query
 TEXT_BYTES = 1 << 20      # texts encoded together
-MEMO = 300_000            # segments a worker remembers, see Memo
+MEMO = 400_000            # segments a worker remembers, see Memo
 MEMO_CHARS = 4 << 20      # of them in each generation; an id takes four bytes
 
 # Keys are piece << 32 | position, so one ordering serves pieces and positions.
